@@ -10,12 +10,15 @@ from itertools import combinations
 
 from wayfare import schema as S
 
+# Rows that come from a fitted model differ in the last digits by the solver.
+FITTED_PLACES = 3
+
 BOX_LON = "BETWEEN -741e-1 AND -737e-1"
 BOX_LAT = "BETWEEN 405e-1 AND 410e-1"
 
 
-def r(expression: str, name: str | None = None) -> str:
-    rounded = f"round(CAST({expression} AS DOUBLE), 6) + 0e0"
+def r(expression: str, name: str | None = None, places: int = 6) -> str:
+    rounded = f"round(CAST({expression} AS DOUBLE), {places}) + 0e0"
     return f"{rounded} AS {name}" if name else rounded
 
 
@@ -24,8 +27,8 @@ def whole(column: str) -> str:
     return f"CAST({column} AS DOUBLE) AS {column}"
 
 
-def rcols(*names: str) -> str:
-    return ", ".join(r(n, n) for n in names)
+def rcols(*names: str, places: int = 6) -> str:
+    return ", ".join(r(n, n, places) for n in names)
 
 
 TRIPS = """
@@ -242,16 +245,16 @@ TIME_PARTS = trips(
 # ---------------------------------------------------------------- statistics
 
 
-def _hour_profile(value: str, source: str, places: bool) -> str:
+def _hour_profile(value: str, source: str, places: int | None, moment_places: int = 6) -> str:
     def v(e: str, name: str) -> str:
-        return r(e, name) if places else f"{e} AS {name}"
+        return f"{e} AS {name}" if places is None else r(e, name, places)
 
     q1, q3 = f"quantile_disc({value}, 0.25)", f"quantile_disc({value}, 0.75)"
     return (
         f"SELECT pickup_hour, count(*) AS count, {v(f'min({value})', 'min')}, {v(q1, 'q1')}, "
         f"{v(f'quantile_disc({value}, 0.5)', 'median')}, {v(q3, 'q3')}, {v(f'max({value})', 'max')}, "
-        f"{r(f'avg({value})', 'mean')}, {r(f'stddev_samp({value})', 'stddev')}, {v(f'{q3} - {q1}', 'iqr')} "
-        f"FROM {source} GROUP BY pickup_hour"
+        f"{r(f'avg({value})', 'mean', moment_places)}, {r(f'stddev_samp({value})', 'stddev', moment_places)}, "
+        f"{v(f'{q3} - {q1}', 'iqr')} FROM {source} GROUP BY pickup_hour"
     )
 
 
@@ -378,11 +381,15 @@ def outputs(source: str) -> str:
     )
 
 
-SCORED = (
-    f"id, pickup_hour, pickup_weekday, pickup_month, is_peak, {r('distance_km', 'distance_km')}, airport_trip, "
-    f"{r('distance_peak', 'distance_peak')}, {whole('store_and_fwd_flag_num')}, "
-    f"{rcols('duration_seconds', 'duration_minutes', 'avg_speed', 'log_prediction')}, band"
-)
+def scored_columns(places: int = 6) -> str:
+    return (
+        f"id, pickup_hour, pickup_weekday, pickup_month, is_peak, {r('distance_km', 'distance_km', places)}, "
+        f"airport_trip, {r('distance_peak', 'distance_peak', places)}, {whole('store_and_fwd_flag_num')}, "
+        f"{rcols('duration_seconds', 'duration_minutes', 'avg_speed', 'log_prediction', places=places)}, band"
+    )
+
+
+SCORED = scored_columns()
 
 
 def _scored(seconds: str, select: str = SCORED) -> str:
@@ -561,7 +568,7 @@ COMPARISON_BODY = " UNION ALL ".join(
 )
 PREDICTIONS = clean(
     "SELECT id, "
-    + ", ".join(r(f"exp({prediction(name, f)}) - 1e0", f"{name}_seconds") for _, name, f in PLAIN)
+    + ", ".join(r(f"exp({prediction(name, f)}) - 1e0", f"{name}_seconds", FITTED_PLACES) for _, name, f in PLAIN)
     + " FROM test "
     + " ".join(f"CROSS JOIN {name}_weights" for _, name, _ in PLAIN),
     ALL_RIDGES,
@@ -614,8 +621,8 @@ ORACLE_SQL: dict[str, str] = {
     "is_weekend_share": clean(
         _share("is_weekend", "(SELECT CAST(isodow(pickup_datetime) IN (6, 7) AS INT) AS is_weekend FROM clean)")
     ),
-    "hour_duration_profile": clean(_hour_profile("trip_duration", "clean", False)),
-    "hour_duration_profile_sketch": clean(_hour_profile("trip_duration", "clean", False)),
+    "hour_duration_profile": clean(_hour_profile("trip_duration", "clean", None)),
+    "hour_duration_profile_sketch": clean(_hour_profile("trip_duration", "clean", None)),
     "hour_quartiles": HOUR_QUARTILES,
     "corr_matrix": CORR_MATRIX,
     "corr_strong_pairs": CORR_STRONG,
@@ -660,7 +667,7 @@ ORACLE_SQL: dict[str, str] = {
     "rule_metrics": f"{RULE_TESTED} SELECT 'additive' AS model, {metric_columns()} FROM ruled",
     "residuals_by_hour": RULE_TESTED
     + ", left_over AS (SELECT pickup_hour, (exp(y) - 1e0) - (exp(p) - 1e0) AS residual_sec FROM ruled) "
-    + _hour_profile("residual_sec", "left_over", True),
+    + _hour_profile("residual_sec", "left_over", 6),
     "model_base7": _model(*PLAIN[0]),
     "model_base9": _model(*PLAIN[1]),
     "model_interaction": _model(*PLAIN[2]),
@@ -668,15 +675,16 @@ ORACLE_SQL: dict[str, str] = {
     "plain_model_comparison": clean(COMPARISON_BODY, ALL_RIDGES),
     "best_plain_model": clean(f"SELECT * FROM ({COMPARISON_BODY}) ORDER BY rmsle, model LIMIT 1", ALL_RIDGES),
     "model_residuals_by_hour": clean(
-        _hour_profile("residual_sec", "left_over", True),
+        _hour_profile("residual_sec", "left_over", FITTED_PLACES, FITTED_PLACES),
         TESTED
         + ", left_over AS (SELECT pickup_hour, (exp(log_duration) - 1e0) - (exp(p) - 1e0) AS residual_sec FROM tested)",
     ),
-    "model_roundtrip_score": clean(f"SELECT {SCORED}, 'model' AS scorer FROM scored", MODEL_SCORED),
-    "stream_score_model": clean(f"SELECT {SCORED}, 'model' AS scorer FROM scored", MODEL_SCORED),
+    "model_roundtrip_score": clean(f"SELECT {scored_columns(FITTED_PLACES)}, 'model' AS scorer FROM scored", MODEL_SCORED),
+    "stream_score_model": clean(f"SELECT {scored_columns(FITTED_PLACES)}, 'model' AS scorer FROM scored", MODEL_SCORED),
     "prediction_interval": clean(
-        f"SELECT id, {r('duration_seconds', 'duration_seconds')}, "
-        f"{r('exp(log_prediction - half) - 1e0', 'seconds_low')}, {r('exp(log_prediction + half) - 1e0', 'seconds_high')} "
+        f"SELECT id, {r('duration_seconds', 'duration_seconds', FITTED_PLACES)}, "
+        f"{r('exp(log_prediction - half) - 1e0', 'seconds_low', FITTED_PLACES)}, "
+        f"{r('exp(log_prediction + half) - 1e0', 'seconds_high', FITTED_PLACES)} "
         "FROM scored CROSS JOIN (SELECT 196e-2 * sqrt(avg(pow(log_duration - p, 2))) AS half FROM tested)",
         MODEL_SCORED,
     ),

@@ -23,23 +23,24 @@ from wayfare.streaming import score as stream_score
 Query = Callable[[SparkSession, str], DataFrame]
 
 PLACES = 6
+FITTED_PLACES = 3  # rows that come from a fitted model
 BINS = 100
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, places: int = PLACES) -> DataFrame:
     """The comparable form of a result.
 
-    Doubles to six places, so that engines that add in another order agree;
+    Doubles to fixed places, so that engines that add in another order agree;
     integer columns that may hold NULLs as doubles, because row readers differ
     in how they hold a NULL among integers.
     """
 
     def cell(field: T.StructField):
         value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DoubleType):
+            return F.round(value, places).alias(field.name)
         if field.name in S.NULLABLE_COUNTS:
             return value.cast("double").alias(field.name)
-        if isinstance(field.dataType, T.DoubleType):
-            return F.round(value, PLACES).alias(field.name)
         return value
 
     return df.select(*[cell(f) for f in df.schema.fields])
@@ -282,7 +283,8 @@ def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows with the plain variants' predictions in seconds."""
     _, predictions = train.fit_and_predict(cleaned(spark, sf_dir), train.PLAIN_VARIANTS)
     return rounded(
-        predictions.select("id", *[F.expm1(v.prediction).alias(f"{v.prefix}_seconds") for v in train.PLAIN_VARIANTS])
+        predictions.select("id", *[F.expm1(v.prediction).alias(f"{v.prefix}_seconds") for v in train.PLAIN_VARIANTS]),
+        FITTED_PLACES,
     )
 
 
@@ -299,7 +301,7 @@ def best_plain_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_residuals_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, predictions = train.fit_and_predict(cleaned(spark, sf_dir), [M.BASELINE])
     left = metrics.residuals(predictions, M.BASELINE.prediction)
-    return rounded(stats.group_profile(left, "pickup_hour", "residual_sec"))
+    return rounded(stats.group_profile(left, "pickup_hour", "residual_sec"), FITTED_PLACES)
 
 
 def pickup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,7 +350,8 @@ def _saved_baseline(spark: SparkSession, sf_dir: str):
 
 def model_roundtrip_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save, load, then score the accepted requests."""
-    return rounded(serve.score_requests(requests(spark, sf_dir), _saved_baseline(spark, sf_dir)))
+    scores = serve.score_requests(requests(spark, sf_dir), _saved_baseline(spark, sf_dir))
+    return rounded(scores, FITTED_PLACES)
 
 
 def stream_score_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +360,7 @@ def stream_score_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch.run_dir(spark, "stream-out")
     model = _saved_baseline(spark, sf_dir)
     stream_score.start_scoring(stream, out, scratch.run_dir(spark, "stream-log"), model).awaitTermination()
-    return rounded(spark.read.parquet(out).select(*score.SCORED_COLUMNS, "scorer"))
+    return rounded(spark.read.parquet(out).select(*score.SCORED_COLUMNS, "scorer"), FITTED_PLACES)
 
 
 def prediction_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +370,7 @@ def prediction_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     tested = M.predict_variants(test_rows, fitted, [M.BASELINE])
     error = metrics.regression_metrics(tested, {M.BASELINE.name: M.BASELINE.prediction}).first()["rmse_log"]
     out = score.prediction_interval(score.score_model(featured(spark, sf_dir), fitted[M.BASELINE.name]), error)
-    return rounded(out.select("id", "duration_seconds", "seconds_low", "seconds_high"))
+    return rounded(out.select("id", "duration_seconds", "seconds_low", "seconds_high"), FITTED_PLACES)
 
 
 def noisy_score(df: DataFrame) -> DataFrame:

@@ -67,10 +67,11 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     )
     plon, plat, c, g, value = (F.col(n) for n in ("plon", "plat", "c", "g", "value"))
     far = F.abs(c - F.lit(500.0)) + F.abs(g - F.lit(500.0))
-    trips = base.select(
-        F.concat(F.lit("id"), eid.cast("string")).alias("id"),
-        (F.lit(1) + F.col("user_id") % 2).cast("int").alias("vendor_id"),
-        (F.col("ts") + F.make_dt_interval(((eid % 6) * 30).cast("int"))).alias("pickup_datetime"),
+    # Positions, passengers and duration are what filters test. Yielding them from a
+    # one-element generator makes them finished values: filters above are not
+    # rewritten in terms of the arithmetic, which would repeat it in every
+    # comparison. The other columns stay plain projections and can be pruned.
+    tested = F.struct(
         F.when(hits(50), F.lit(0))
         .when(hits(97), F.lit(7) + eid % 3)
         .when(hits(227), F.lit(None))
@@ -90,10 +91,6 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         F.when(hits(149) | hits(83), plat)
         .otherwise(plat + (g - F.lit(500.0)) * F.lit(2e-4))
         .alias("dropoff_latitude"),
-        F.when(hits(211), F.lit(None))
-        .when(hits(180) | hits(181), F.lit("Y"))
-        .otherwise(F.lit("N"))
-        .alias("store_and_fwd_flag"),
         F.when(hits(131), F.lit(1.0))
         .when(hits(137), F.lit(100000.0))
         .when(hits(167), F.lit(61.0))
@@ -103,6 +100,16 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         .cast("int")
         .alias("trip_duration"),
     )
+    trips = base.select("event_id", "ts", "user_id", F.inline(F.array(tested))).withColumns(
+        {
+            "id": F.concat(F.lit("id"), eid.cast("string")),
+            "vendor_id": (F.lit(1) + F.col("user_id") % 2).cast("int"),
+            "pickup_datetime": F.col("ts") + F.make_dt_interval(((eid % 6) * 30).cast("int")),
+            "store_and_fwd_flag": F.when(hits(211), F.lit(None))
+            .when(hits(180) | hits(181), F.lit("Y"))
+            .otherwise(F.lit("N")),
+        }
+    )
     zero = F.lit(0)
     dropoff = F.col("pickup_datetime") + F.make_dt_interval(zero, zero, zero, F.col("trip_duration"))
     return trips.withColumn("dropoff_datetime", dropoff).select(*TRIP_COLUMNS)
