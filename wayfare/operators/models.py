@@ -73,6 +73,13 @@ def model_frame(clean: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str = "id") -> DataFrame:
+    """A small input with fewer partitions than the cluster has cores is hashed over
+    all of them before the compute-bound fits; a large one is left where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def vendor_indexer(out: str = "vendor_idx") -> StringIndexer:
     """Most frequent vendor first; unseen and NULL vendors share one extra index."""
     return StringIndexer(inputCol="vendor_id", outputCol=out, handleInvalid="keep")
@@ -192,7 +199,7 @@ def cluster_centres(stages: list[Transformer]) -> list[list[float]]:
 
 def fit_variants(train: DataFrame, variants: list[Variant], clusters_k: int = 10) -> dict[str, PipelineModel]:
     """Fit every variant on one persisted training frame."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         clusters = fit_clusters(train, clusters_k) if any(v.clustered for v in variants) else None
         return {v.name: variant_pipeline(v, clusters).fit(train) for v in variants}

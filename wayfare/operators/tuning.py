@@ -21,7 +21,7 @@ from wayfare.operators.split import fold_of
 REG_PARAMS = (0.01, 0.05, 0.1)
 ELASTIC_NETS = (0.0, 0.3, 0.7)
 FOLDS = 3
-PARALLELISM = 2
+PARALLELISM = 4  # fits in flight; changes no result
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def cross_validate(
     if variant.clustered:
         for stage in clusters or []:
             train = stage.transform(train)
-    train = train.withColumn("fold", fold_of(folds=folds)).persist(StorageLevel.MEMORY_AND_DISK)
+    train = M.spread(train).withColumn("fold", fold_of(folds=folds)).persist(StorageLevel.MEMORY_AND_DISK)
     lr = M.regression(variant)
     grid = parameter_grid(lr, reg_params, elastic_nets)
     scores: list[GridScore] = []

@@ -47,7 +47,7 @@ class Comparison:
 def compare(clean: DataFrame, **search) -> Comparison:
     """Baseline, +Interaction and the tuned model on one split."""
     train, test = hash_split(M.model_frame(clean))
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = M.spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = {v.name: M.variant_pipeline(v).fit(train) for v in (M.BASELINE, M.INTERACTION)}
         tuned = tune_optimized(train, **search)

@@ -42,77 +42,71 @@ def stream_events(spark: SparkSession, sf_dir: str, files_per_trigger: int | Non
     return reader.parquet(f"{sf_dir}/events.{{parquet}}")
 
 
+# Exponent literals are doubles; a plain 0.24 would be a decimal.
+EVENT_PARTS = [
+    "event_id",
+    "ts",
+    "user_id",
+    "value",
+    "-7405e-2 + CAST((event_id * 7919) % 1000 AS DOUBLE) * 3e-4 AS plon",
+    "4060e-2 + CAST((event_id * 6271) % 1000 AS DOUBLE) * 3e-4 AS plat",
+    "CAST((event_id * 3571) % 1000 AS DOUBLE) - 500e0 AS dx",
+    "CAST((event_id * 4583) % 1000 AS DOUBLE) - 500e0 AS dy",
+]
+# What cleaning and validation test, as the one element of an array.
+TESTED_PARTS = """inline(array(struct(
+    CAST(CASE WHEN event_id % 50 = 0 THEN 0
+              WHEN event_id % 97 = 0 THEN 7 + event_id % 3
+              WHEN event_id % 227 = 0 THEN NULL
+              ELSE 1 + event_id % 6 END AS INT) AS passenger_count,
+    CASE WHEN event_id % 113 = 0 THEN plon + 2e0
+         WHEN event_id % 223 = 0 THEN DOUBLE('NaN')
+         ELSE plon END AS pickup_longitude,
+    plat AS pickup_latitude,
+    CASE WHEN event_id % 149 = 0 THEN plon
+         WHEN event_id % 83 = 0 THEN plon + IF(plon < -739e-1, 24e-2, -24e-2)
+         ELSE plon + dx * 2e-4 END AS dropoff_longitude,
+    CASE WHEN event_id % 149 = 0 OR event_id % 83 = 0 THEN plat
+         ELSE plat + dy * 2e-4 END AS dropoff_latitude,
+    CAST(CASE WHEN event_id % 131 = 0 THEN 1
+              WHEN event_id % 137 = 0 THEN 100000
+              WHEN event_id % 167 = 0 THEN 61
+              WHEN event_id % 173 = 0 THEN 7000
+              WHEN event_id % 83 = 0 THEN FLOOR(1500e0 + value * 8e0)
+              ELSE FLOOR(120e0 + (ABS(dx) + ABS(dy)) * 2e0 + value * 4e0) END AS INT) AS trip_duration)))"""
+TRIP_PARTS = [
+    "CONCAT('id', CAST(event_id AS STRING)) AS id",
+    "CAST(1 + user_id % 2 AS INT) AS vendor_id",
+    "ts + make_dt_interval(CAST((event_id % 6) * 30 AS INT)) AS pickup_datetime",
+    "passenger_count",
+    "pickup_longitude",
+    "pickup_latitude",
+    "dropoff_longitude",
+    "dropoff_latitude",
+    "CASE WHEN event_id % 211 = 0 THEN NULL "
+    "WHEN event_id % 180 = 0 OR event_id % 181 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag",
+    "trip_duration",
+]
+DROPOFF_TIME = "pickup_datetime + make_dt_interval(0, 0, 0, trip_duration)"
+
+
 def trips_from_events(events: DataFrame) -> DataFrame:
     """Project events onto the trip schema by integer arithmetic on the event id.
 
     Works on a batch or a stream. Only ``event_id, ts, user_id, value`` are read.
+    Positions, passengers and duration are what filters test; yielding them from
+    a one-element generator makes them finished values, where a plain projection
+    would be rewritten into every comparison above it. The other columns stay
+    plain projections and can be pruned. SQL text keeps the many small
+    expressions to a few calls into the JVM.
     """
-    eid = F.col("event_id")
-
-    def spread(factor: int):
-        return ((eid * factor) % 1000).cast("double")
-
-    def hits(n: int):
-        return eid % n == 0
-
-    base = events.select(
-        "event_id",
-        "ts",
-        "user_id",
-        "value",
-        (F.lit(-74.05) + spread(7919) * F.lit(3e-4)).alias("plon"),
-        (F.lit(40.60) + spread(6271) * F.lit(3e-4)).alias("plat"),
-        spread(3571).alias("c"),
-        spread(4583).alias("g"),
-    )
-    plon, plat, c, g, value = (F.col(n) for n in ("plon", "plat", "c", "g", "value"))
-    far = F.abs(c - F.lit(500.0)) + F.abs(g - F.lit(500.0))
-    # Positions, passengers and duration are what filters test. Yielding them from a
-    # one-element generator makes them finished values: filters above are not
-    # rewritten in terms of the arithmetic, which would repeat it in every
-    # comparison. The other columns stay plain projections and can be pruned.
-    tested = F.struct(
-        F.when(hits(50), F.lit(0))
-        .when(hits(97), F.lit(7) + eid % 3)
-        .when(hits(227), F.lit(None))
-        .otherwise(F.lit(1) + eid % 6)
-        .cast("int")
-        .alias("passenger_count"),
-        F.when(hits(113), plon + F.lit(2.0))
-        .when(hits(223), F.lit(float("nan")))
-        .otherwise(plon)
-        .alias("pickup_longitude"),
-        plat.alias("pickup_latitude"),
-        F.when(hits(149), plon)
-        .when(hits(83) & (plon < F.lit(-73.9)), plon + F.lit(0.24))
-        .when(hits(83), plon - F.lit(0.24))
-        .otherwise(plon + (c - F.lit(500.0)) * F.lit(2e-4))
-        .alias("dropoff_longitude"),
-        F.when(hits(149) | hits(83), plat)
-        .otherwise(plat + (g - F.lit(500.0)) * F.lit(2e-4))
-        .alias("dropoff_latitude"),
-        F.when(hits(131), F.lit(1.0))
-        .when(hits(137), F.lit(100000.0))
-        .when(hits(167), F.lit(61.0))
-        .when(hits(173), F.lit(7000.0))
-        .when(hits(83), F.floor(F.lit(1500.0) + value * F.lit(8.0)).cast("double"))
-        .otherwise(F.floor(F.lit(120.0) + far * F.lit(2.0) + value * F.lit(4.0)).cast("double"))
-        .cast("int")
-        .alias("trip_duration"),
-    )
-    trips = base.select("event_id", "ts", "user_id", F.inline(F.array(tested))).withColumns(
-        {
-            "id": F.concat(F.lit("id"), eid.cast("string")),
-            "vendor_id": (F.lit(1) + F.col("user_id") % 2).cast("int"),
-            "pickup_datetime": F.col("ts") + F.make_dt_interval(((eid % 6) * 30).cast("int")),
-            "store_and_fwd_flag": F.when(hits(211), F.lit(None))
-            .when(hits(180) | hits(181), F.lit("Y"))
-            .otherwise(F.lit("N")),
-        }
+    return (
+        events.selectExpr(*EVENT_PARTS)
+        .selectExpr("event_id", "ts", "user_id", TESTED_PARTS)
+        .selectExpr(*TRIP_PARTS)
+        .withColumn("dropoff_datetime", F.expr(DROPOFF_TIME))
+        .select(*TRIP_COLUMNS)
     )
-    zero = F.lit(0)
-    dropoff = F.col("pickup_datetime") + F.make_dt_interval(zero, zero, zero, F.col("trip_duration"))
-    return trips.withColumn("dropoff_datetime", dropoff).select(*TRIP_COLUMNS)
 
 
 def read_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
