@@ -80,13 +80,18 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def vendor_indexer(out: str = "vendor_idx") -> StringIndexer:
-    """Most frequent vendor first; unseen and NULL vendors share one extra index."""
-    return StringIndexer(inputCol="vendor_id", outputCol=out, handleInvalid="keep")
+def indexer(columns: dict[str, str]) -> StringIndexer:
+    """Most frequent value first; unseen values and NULL share one extra index.
+    All columns are counted in the same pass."""
+    return StringIndexer(inputCols=list(columns), outputCols=list(columns.values()), handleInvalid="keep")
 
 
-def cluster_indexer(out: str = "cluster_idx") -> StringIndexer:
-    return StringIndexer(inputCol="pickup_cluster", outputCol=out, handleInvalid="keep")
+def vendor_indexer() -> StringIndexer:
+    return indexer({"vendor_id": "vendor_idx"})
+
+
+def cluster_indexer() -> StringIndexer:
+    return indexer({"pickup_cluster": "cluster_idx"})
 
 
 def assembler(inputs: tuple[str, ...] | list[str], out: str, handle_invalid: str = "error") -> VectorAssembler:
@@ -97,19 +102,19 @@ def scaler(inp: str, out: str) -> StandardScaler:
     return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
 
 
-def feature_stages(variant: Variant, scaled: bool = True) -> list[Estimator | Transformer]:
-    """Index, assemble and scale; column names carry the variant's prefix so that
-    several fitted models can score one frame in the same pass."""
+def index_stage(variants: list[Variant]) -> StringIndexer:
+    clusters = {"pickup_cluster": "cluster_idx"} if any(v.clustered for v in variants) else {}
+    return indexer({"vendor_id": "vendor_idx"} | clusters)
+
+
+def scale_stages(variant: Variant) -> list[Estimator | Transformer]:
     p = variant.prefix
-    names = {"vendor_idx": f"{p}_vendor_idx", "cluster_idx": f"{p}_cluster_idx"}
-    stages: list[Estimator | Transformer] = [vendor_indexer(names["vendor_idx"])]
-    if variant.clustered:
-        stages.append(cluster_indexer(names["cluster_idx"]))
-    inputs = [names.get(f, f) for f in variant.features]
-    stages.append(assembler(inputs, f"{p}_raw"))
-    if scaled:
-        stages.append(scaler(f"{p}_raw", f"{p}_scaled"))
-    return stages
+    return [assembler(variant.features, f"{p}_raw"), scaler(f"{p}_raw", f"{p}_scaled")]
+
+
+def feature_stages(variant: Variant) -> list[Estimator | Transformer]:
+    """Index, assemble and scale."""
+    return [index_stage([variant]), *scale_stages(variant)]
 
 
 def expansion(variant: Variant) -> PolynomialExpansion:
@@ -117,6 +122,15 @@ def expansion(variant: Variant) -> PolynomialExpansion:
     return PolynomialExpansion(degree=variant.degree, inputCol=f"{p}_scaled", outputCol=f"{p}_features")
 
 
+def expand_stages(variant: Variant) -> list[Estimator | Transformer]:
+    return [expansion(variant)] if variant.degree > 1 else []
+
+
+def vector_stages(variant: Variant) -> list[Estimator | Transformer]:
+    """Everything before the regression."""
+    return [*feature_stages(variant), *expand_stages(variant)]
+
+
 def regression(variant: Variant) -> LinearRegression:
     """Least squares on the normal equations: with these feature counts one pass
     collects the moments, and iterations happen on that small matrix."""
@@ -131,19 +145,6 @@ def regression(variant: Variant) -> LinearRegression:
     )
 
 
-def variant_pipeline(variant: Variant, clusters: list[Transformer] | None = None) -> Pipeline:
-    """All stages of a variant. ``clusters`` are the fitted position stages that
-    turn a raw pickup position into ``pickup_cluster`` (see ``fit_clusters``)."""
-    if variant.clustered and not clusters:
-        raise ValueError("a clustered variant needs fitted cluster stages")
-    stages: list[Estimator | Transformer] = list(clusters or []) if variant.clustered else []
-    stages += feature_stages(variant)
-    if variant.degree > 1:
-        stages.append(expansion(variant))
-    stages.append(regression(variant))
-    return Pipeline(stages=stages)
-
-
 def position_points(df: DataFrame) -> DataFrame:
     """Distinct pickup positions with their number of trips.
 
@@ -198,11 +199,23 @@ def cluster_centres(stages: list[Transformer]) -> list[list[float]]:
 
 
 def fit_variants(train: DataFrame, variants: list[Variant], clusters_k: int = 10) -> dict[str, PipelineModel]:
-    """Fit every variant on one persisted training frame."""
+    """Fit every variant on one persisted training frame.
+
+    The index stage is the same for all variants, so it is fitted once. A
+    clustered variant gets position stages that turn a raw pickup position into
+    ``pickup_cluster`` in front, so its model scores raw requests.
+    """
     train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        clusters = fit_clusters(train, clusters_k) if any(v.clustered for v in variants) else None
-        return {v.name: variant_pipeline(v, clusters).fit(train) for v in variants}
+        head: list[Transformer] = fit_clusters(train, clusters_k) if any(v.clustered for v in variants) else []
+        indexed = PipelineModel(stages=head).transform(train) if head else train
+        head = [*head, index_stage(variants).fit(indexed)]
+        indexed = head[-1].transform(indexed)
+        models = {}
+        for v in variants:
+            tail = Pipeline(stages=[*scale_stages(v), *expand_stages(v), regression(v)]).fit(indexed)
+            models[v.name] = PipelineModel(stages=[*head, *tail.stages])
+        return models
     finally:
         train.unpersist()
 

@@ -5,13 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param import Param
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare import schema as S
 from wayfare.operators import models as M
@@ -57,14 +62,60 @@ def _fit_grid(
     return [found[i] for i in range(len(grid))]
 
 
-def _score_grid(fitted: list[LinearRegressionModel], features: DataFrame) -> list[float]:
-    """RMSE of every fitted grid point from one pass over the held-out rows."""
-    errors = []
-    for i, model in enumerate(fitted):
-        features = model.transform(features, {model.predictionCol: f"p{i}"})
-        e = F.col(S.LABEL) - F.col(f"p{i}")
-        errors.append(F.sqrt(F.avg(e * e)).alias(f"e{i}"))
-    return list(features.agg(*errors).first())
+def gram_matrix(df: DataFrame, features: str, label: str = S.LABEL) -> np.ndarray:
+    """Sums of products of (features, label, 1) over all rows, in one pass.
+
+    Each task adds up its own matrix and the matrices are tree-summed; its size
+    depends on the number of features only.
+    """
+    row = M.assembler([features, label, "unit"], "row").transform(df.withColumn("unit", F.lit(1.0))).select("row")
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(row, "row")).computeGramianMatrix().toArray()
+
+
+@dataclass(frozen=True)
+class MomentRows:
+    """A few equally weighted rows with the sums of products of a whole table."""
+
+    x: np.ndarray
+    y: np.ndarray
+    weight: float
+
+    def rmse(self, model: LinearRegressionModel) -> float:
+        error = self.y - self.x @ model.coefficients.toArray() - model.intercept
+        return float(np.sqrt(np.mean(error**2)))
+
+    def table(self, spark: SparkSession, features: str, label: str = S.LABEL) -> DataFrame:
+        rows = [(Vectors.dense(x), float(y), self.weight) for x, y in zip(self.x, self.y, strict=True)]
+        schema = T.StructType(
+            [
+                T.StructField(features, VectorUDT()),
+                T.StructField(label, T.DoubleType()),
+                T.StructField("trips", T.DoubleType()),
+            ]
+        )
+        return spark.createDataFrame(rows, schema).coalesce(1)
+
+
+def moment_rows(gram: np.ndarray) -> MomentRows:
+    """Rows R with R'R = gram, turned so that the unit column is the same in each.
+
+    Least squares sees a table only through these sums, so a fit on the rows is
+    the fit on the table.
+    """
+    size, n = len(gram), gram[-1, -1]
+    values, vectors = np.linalg.eigh(gram)
+    rows = np.sqrt(np.clip(values, 0.0, None))[:, None] * vectors.T
+    # Reflect the unit column onto the diagonal direction.
+    target = np.full(size, 1 / np.sqrt(size))
+    axis = rows[:, -1] / np.sqrt(n) - target
+    if axis @ axis > 1e-24:
+        rows = rows - 2.0 * np.outer(axis, axis @ rows) / (axis @ axis)
+    rows = rows / np.sqrt(n / size)
+    # A constant column stays constant: rounding must not give it a spread.
+    mean = gram[:, -1] / n
+    constant = np.diag(gram) / n - mean**2 <= 1e-12 * np.diag(gram) / n
+    rows[:, constant] = mean[constant]
+    return MomentRows(rows[:, :-2], rows[:, -2], float(n / size))
 
 
 def cross_validate(
@@ -79,40 +130,40 @@ def cross_validate(
     """Choose ``reg_param`` and ``elastic_net`` by mean held-out RMSE, then refit on all of ``train``.
 
     Gives what ``CrossValidator`` gives over the whole pipeline with the same
-    folds, at less cost: the preparing stages do not depend on the grid, so they
-    are fitted once per fold instead of once per fold and grid point, their
-    scaled vector and the label are all that is persisted (the expansion is
-    computed on the fly), and a fold's grid points are scored together.
-    Folds come from the id's hash, so they survive any repartitioning.
+    folds. That reads the training rows several times for every fold and grid
+    point; here a fold's preparing stages are fitted once, its rows are reduced
+    once to their sums of products, and all grid points are fitted and scored on
+    the few rows that carry those sums. The number of passes does not grow with
+    the grid. Folds come from the id's hash, so they survive any repartitioning.
     """
-    if variant.clustered:
-        for stage in clusters or []:
-            train = stage.transform(train)
+    spark = train.sparkSession
+    for stage in clusters or [] if variant.clustered else []:
+        train = stage.transform(train)
     train = M.spread(train).withColumn("fold", fold_of(folds=folds)).persist(StorageLevel.MEMORY_AND_DISK)
     lr = M.regression(variant)
+    features = lr.getFeaturesCol()
     grid = parameter_grid(lr, reg_params, elastic_nets)
     scores: list[GridScore] = []
     try:
         for fold in range(folds):
             fit_rows, held_out = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
-            prepare = Pipeline(stages=M.feature_stages(variant)).fit(fit_rows)
-            vectors = prepare.transform(fit_rows).select(f"{variant.prefix}_scaled", S.LABEL)
-            vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-            expand = M.expansion(variant) if variant.degree > 1 else None
+            prepare = Pipeline(stages=M.vector_stages(variant)).fit(fit_rows)
+            reduced, test = (
+                moment_rows(gram_matrix(prepare.transform(rows).select(features, S.LABEL), features))
+                for rows in (fit_rows, held_out)
+            )
+            table = reduced.table(spark, features).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                fitted = _fit_grid(lr, expand.transform(vectors) if expand else vectors, grid, parallelism)
-                test = prepare.transform(held_out).select(f"{variant.prefix}_scaled", S.LABEL)
-                rmse = _score_grid(fitted, expand.transform(test) if expand else test)
+                fitted = _fit_grid(lr.copy().setWeightCol("trips"), table, grid, parallelism)
             finally:
-                vectors.unpersist()
+                table.unpersist()
             scores += [
-                GridScore(point[lr.regParam], point[lr.elasticNetParam], fold, value)
-                for point, value in zip(grid, rmse, strict=True)
+                GridScore(point[lr.regParam], point[lr.elasticNetParam], fold, test.rmse(model))
+                for point, model in zip(grid, fitted, strict=True)
             ]
         best = min(grid, key=lambda point: _mean_rmse(scores, point[lr.regParam], point[lr.elasticNetParam]))
         chosen = replace(variant, reg_param=best[lr.regParam], elastic_net=best[lr.elasticNetParam])
-        stages = M.feature_stages(chosen) + ([M.expansion(chosen)] if chosen.degree > 1 else []) + [M.regression(chosen)]
-        fitted_stages = Pipeline(stages=stages).fit(train).stages
+        fitted_stages = Pipeline(stages=[*M.vector_stages(chosen), M.regression(chosen)]).fit(train).stages
     finally:
         train.unpersist()
     position_stages = list(clusters or []) if variant.clustered else []

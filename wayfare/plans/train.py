@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
@@ -47,12 +46,9 @@ class Comparison:
 def compare(clean: DataFrame, **search) -> Comparison:
     """Baseline, +Interaction and the tuned model on one split."""
     train, test = hash_split(M.model_frame(clean))
-    train = M.spread(train).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = {v.name: M.variant_pipeline(v).fit(train) for v in (M.BASELINE, M.INTERACTION)}
-        tuned = tune_optimized(train, **search)
-    finally:
-        train.unpersist()
+    # Each step holds what it needs in memory for as long as it runs.
+    fitted = M.fit_variants(train, [M.BASELINE, M.INTERACTION])
+    tuned = tune_optimized(train, **search)
     fitted[M.OPTIMIZED.name] = tuned.model
     return Comparison(fitted, M.predict_variants(test, fitted, COMPARED), tuned)
 
