@@ -143,6 +143,11 @@ def test_histogram_of_a_constant(spark):
     assert [r["count"] for r in rows] == [5, 0, 0, 0]
 
 
+def test_histogram_leaves_out_nan_and_null(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert [r["count"] for r in stats.histogram_range(df, "x", 2).collect()] == [1, 1]
+
+
 def test_density_covers_every_drawable_point(trips):
     grid = stats.coordinate_grid(trips, 0.01)
     drawable = trips.filter(F.col("pickup_longitude").isNotNull() & ~F.isnan("pickup_longitude")).count()

@@ -214,15 +214,17 @@ def histogram_range(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in equal bins over the column's own [min, max].
 
     The range is a one-row aggregate read as a scalar subquery; the column is
-    scanned twice, which any exact data-range histogram needs.
+    scanned twice, which any exact data-range histogram needs. NULL and NaN
+    have no place on the axis and are left out.
     """
+    df = df.filter(_drawable(column))
     ends = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("e"))
     end = ends.scalar()
     lo, hi = end.getField("lo"), end.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
     position = F.coalesce(F.try_divide(F.col(column) - lo, width), F.lit(0.0))
     index = F.least(F.floor(position), F.lit(bins - 1)).cast("int")
-    counts = df.filter(F.col(column).isNotNull()).groupBy(index.alias("bin")).agg(F.count("*").alias("count"))
+    counts = df.groupBy(index.alias("bin")).agg(F.count("*").alias("count"))
     return _fill_bins(counts, bins, lo, width)
 
 

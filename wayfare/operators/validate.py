@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,11 +41,14 @@ class RequestRules:
 def validate_requests(requests: DataFrame, rules: RequestRules = RequestRules()) -> DataFrame:
     """Add ``reasons`` (array, empty when the request is good) and ``accepted``.
 
-    A missing value fails its check. Works on a batch or a stream.
+    A missing value fails its check. ``accepted`` is a plain conjunction, so
+    that rows can be routed without building the reasons of good requests.
+    Works on a batch or a stream.
     """
-    failed = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(reason)) for reason, ok in rules.checks().items()]
-    return requests.withColumn("reasons", F.array_compact(F.array(*failed))).withColumn(
-        "accepted", F.size("reasons") == 0
+    passed = {reason: F.coalesce(ok, F.lit(False)) for reason, ok in rules.checks().items()}
+    failed = [F.when(~ok, F.lit(reason)) for reason, ok in passed.items()]
+    return requests.withColumns(
+        {"reasons": F.array_compact(F.array(*failed)), "accepted": reduce(and_, passed.values())}
     )
 
 

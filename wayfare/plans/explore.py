@@ -9,6 +9,8 @@ from wayfare.operators import clean, profile, stats
 from wayfare.sources import sinks
 
 GRID_DEGREES = 0.01
+# Tables with as many rows as there are occupied cells; the others are small by nature.
+GRID_REPORTS = ("positions", "positions_zoomed", "distance_duration")
 
 
 def raw_reports(trips: DataFrame, rules: clean.CleanRules = clean.CleanRules()) -> dict[str, DataFrame]:
@@ -66,5 +68,6 @@ def explore(
     reports |= clean_reports(sinks.read_clean(spark, clean_path))
     if report_path:
         for name, table in reports.items():
-            sinks.export_report_csv(table, f"{report_path}/{name}")
+            export = sinks.export_csv if name in GRID_REPORTS else sinks.export_report_csv
+            export(table, f"{report_path}/{name}")
     return reports

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.schema import EVENT_SCHEMA, REQUEST_COLUMNS, TRIP_COLUMNS, TRIP_SCHEMA
+from wayfare.schema import EVENT_SCHEMA, REQUEST_COLUMNS, REQUEST_SCHEMA, TRIP_COLUMNS, TRIP_SCHEMA
 
 
 # Wall-clock times down to the microsecond; the fraction may be absent.
@@ -42,6 +42,14 @@ def stream_events(spark: SparkSession, sf_dir: str, files_per_trigger: int | Non
     return reader.parquet(f"{sf_dir}/events.{{parquet}}")
 
 
+def stream_requests(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Requests as Parquet files arriving in a folder."""
+    reader = spark.readStream.schema(REQUEST_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
 # Exponent literals are doubles; a plain 0.24 would be a decimal.
 EVENT_PARTS = [
     "event_id",
