@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -21,7 +22,9 @@ from tests.session import make_session  # noqa: E402
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = make_session()
+    # Another zone or partitioning must not change a result.
+    zone, parts = os.environ.get("CHECK_ZONE", "UTC"), os.environ.get("CHECK_PARTITIONS", "8")
+    spark = make_session(**{"spark.sql.session.timeZone": zone, "spark.sql.shuffle.partitions": parts})
     con = duckdb.connect()
     register_views(con, sf_dir)
     sql = entry.oracle_sql()

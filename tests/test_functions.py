@@ -66,6 +66,22 @@ def test_pickup_timestamp_combines_and_rejects(spark):
     assert got == [datetime(2016, 3, 13, 2, 30), None, None]
 
 
+def test_wall_clock_text_ignores_the_session_zone(spark):
+    """02:30 on this day does not exist in New York."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([(datetime(2016, 3, 13, 2, 30, 5),)], "t timestamp_ntz")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        row = df.select(
+            calendar.timestamp_text("t"),
+            calendar.pickup_hour("t"),
+            calendar.pickup_timestamp(calendar.date_text("t"), calendar.time_text("t")),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == ("2016-03-13 02:30:05", 2, datetime(2016, 3, 13, 2, 30, 5))
+
+
 def test_speed_of_a_zero_duration(spark):
     df = spark.createDataFrame([(3.0, 0), (3.0, 3600)], "km double, s int")
     rows = df.select(trip.speed_kmh("km", "s"), trip.speed_kmh_or_zero("km", "s")).collect()

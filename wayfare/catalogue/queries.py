@@ -106,9 +106,9 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests with date and time apart, as a form sends them."""
-    ts = F.col("pickup_datetime")
+    ts = "pickup_datetime"
     split_time = requests(spark, sf_dir).withColumns(
-        {"pickup_date": F.date_format(ts, "yyyy-MM-dd"), "pickup_time": F.date_format(ts, "HH:mm:ss")}
+        {"pickup_date": calendar.date_text(ts), "pickup_time": calendar.time_text(ts)}
     )
     checked = validate.validate_requests(serve.combine_pickup(split_time))
     return checked.select(

@@ -49,4 +49,14 @@ def pickup_timestamp(date: Column | str, time: Column | str) -> Column:
 
 
 def timestamp_text(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss`` of a wall-clock time. ``date_format`` would read it in
+    the session zone first and move times that a clock change skips."""
+    return F.substring(_col(ts).cast("timestamp_ntz").cast("string"), 1, 19)
+
+
+def date_text(ts: Column | str) -> Column:
+    return F.substring(timestamp_text(ts), 1, 10)
+
+
+def time_text(ts: Column | str) -> Column:
+    return F.substring(timestamp_text(ts), 12, 8)

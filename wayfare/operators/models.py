@@ -150,16 +150,13 @@ def position_points(df: DataFrame) -> DataFrame:
 
     k-means minimises the same sum over weighted distinct points as over single
     trips. The counts are combined in the map tasks, so a position that holds a
-    large share of all trips is one row per task. Hash partitioning plus a sort
-    fixes the row order that seeded initialisation depends on.
+    large share of all trips is one row per task. The grouping leaves the points
+    hashed by position; sorted within that, their order, which seeded
+    initialisation depends on, is the same on every run.
     """
     lon, lat = S.POSITION_2
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.groupBy(lon, lat)
-        .agg(F.count("*").cast("double").alias("trips"))
-        .repartition(parts, lon, lat)
-        .sortWithinPartitions(lon, lat)
+        df.groupBy(lon, lat).agg(F.count("*").cast("double").alias("trips")).sortWithinPartitions(lon, lat)
     )
 
 

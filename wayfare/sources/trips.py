@@ -14,15 +14,17 @@ CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSS
 
 
 def read_trips_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = TRIP_SCHEMA, infer: bool = False
+    spark: SparkSession, path: str, schema: T.StructType = TRIP_SCHEMA, infer: bool = False
 ) -> DataFrame:
-    """CSV with a header. ``infer=True`` costs one more pass over the file; the
-    timestamps it finds are turned into wall-clock time."""
-    if not infer:
-        return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    clock = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in clock}) if clock else df
+    """CSV with a header. ``infer=True`` finds the types in one more pass over the
+    file and then reads timestamps as wall-clock time, whatever the session zone."""
+    if infer:
+        found = spark.read.options(**CSV_OPTIONS).option("inferSchema", True).csv(path).schema
+        clock = T.TimestampNTZType()
+        schema = T.StructType(
+            [T.StructField(f.name, clock if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in found]
+        )
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def read_trips_parquet(spark: SparkSession, path: str) -> DataFrame:
