@@ -14,7 +14,7 @@ def add_distance(df: DataFrame) -> DataFrame:
     """Add ``distance_km``, computed once per row.
 
     A plain computed column is copied into every later filter that uses it, and
-    the copies of this formula grow the generated code past what the JVM will
+    the copies of this formula can grow the generated code past what the JVM will
     compile. A one-element generator keeps the filter above the computation, so
     later filters and columns read the finished value.
     """
