@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local temporary one only in local mode."""
+    """The shared folder the cluster names; where it names none, a folder of the warehouse, which is shared too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="wayfare-")
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
