@@ -160,3 +160,21 @@ def slices(batch: pa.RecordBatch, most: int = 1 << 23) -> Iterator[pa.RecordBatc
     step = max(1, int(most / size))
     for i in range(0, batch.num_rows, step):
         yield batch.slice(i, step)
+
+
+def vector_blocks(batch: pa.RecordBatch, column: str = "embedding") -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and vectors (as doubles) of the batch, by dimension; rows that are null, or hold null or
+    non-finite components, are left out."""
+    vectors = batch[column]
+    if not len(vectors):
+        return
+    flat = vectors.flatten()
+    values = np.asarray(flat.cast(pa.float64()).fill_null(float("nan")), np.float64)
+    lengths = np.asarray(vectors.value_lengths().fill_null(-1), np.int64)
+    starts = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])[:-1]
+    for n in np.unique(lengths[lengths >= 0]):
+        rows = np.flatnonzero(lengths == n)
+        block = values[starts[rows, None] + np.arange(n)]
+        good = np.isfinite(block).all(axis=1)
+        if good.any():
+            yield rows[good], block[good]

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm.byte_bpe import encode_decode
-from wayfare.llm.common import documents
+from wayfare.llm.common import documents, table
 from wayfare.llm.packing import pack
+from wayfare.llm.subspace_join import near_vectors
 from wayfare.llm.token_counts import token_counts
+from wayfare.llm.top_k import top_k
 
 
 def tokenizer_file(name: str) -> str:
@@ -23,6 +25,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,10 +43,34 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_top_k": op3_top_k,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_counts": op5_token_counts,
+    "op9_embedding_dedup": op9_embedding_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+    CAST(list_dot_product(q.c, v.c) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.c) = len(v.c)
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_top_k": TOP_K_SQL}
