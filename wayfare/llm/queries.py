@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm.byte_bpe import encode_decode
-from wayfare.llm.common import documents, table
+from wayfare.llm.common import documents, held_out, table
 from wayfare.llm.packing import pack
+from wayfare.llm.quality import fit_quality, score_quality
 from wayfare.llm.subspace_join import near_vectors
 from wayfare.llm.token_counts import token_counts
 from wayfare.llm.top_k import top_k
@@ -43,6 +44,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -52,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
     "op9_embedding_dedup": op9_embedding_dedup,
 }
 
