@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.byte_bpe import encode_decode
 from wayfare.llm.common import documents, held_out, table
+from wayfare.llm import line_templates
 from wayfare.llm.packing import pack
 from wayfare.llm.quality import fit_quality, score_quality
 from wayfare.llm.subspace_join import near_vectors
@@ -50,6 +51,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_templates.drop_recurring_lines(documents(spark, sf_dir))
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
+    "op8_line_templates": op8_line_templates,
     "op9_embedding_dedup": op9_embedding_dedup,
 }
 
@@ -81,4 +89,4 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_top_k": TOP_K_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_top_k": TOP_K_SQL, "op8_line_templates": line_templates.SQL}
