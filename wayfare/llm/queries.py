@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wayfare.llm.byte_bpe import encode_decode
 from wayfare.llm.common import documents, held_out, table
 from wayfare.llm import line_templates
+from wayfare.llm.minhash import near_documents
 from wayfare.llm.packing import pack
 from wayfare.llm.quality import fit_quality, score_quality
 from wayfare.llm.subspace_join import near_vectors
@@ -51,6 +52,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(documents(spark, sf_dir))
+
+
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_templates.drop_recurring_lines(documents(spark, sf_dir))
     text = F.coalesce("text", F.lit("")).cast("binary")
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
+    "op7_minhash": op7_minhash,
     "op8_line_templates": op8_line_templates,
     "op9_embedding_dedup": op9_embedding_dedup,
 }
