@@ -13,6 +13,7 @@ from wayfare.llm import line_templates
 from wayfare.llm.minhash import near_documents
 from wayfare.llm.packing import pack
 from wayfare.llm.quality import fit_quality, score_quality
+from wayfare.llm.substrings import remove_repeats
 from wayfare.llm.subspace_join import near_vectors
 from wayfare.llm.token_counts import token_counts
 from wayfare.llm.top_k import top_k
@@ -66,6 +67,11 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_top_k": op3_top_k,
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minhash": op7_minhash,
     "op8_line_templates": op8_line_templates,
     "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_substrings": op10_substrings,
 }
 
 TOP_K_SQL = """
