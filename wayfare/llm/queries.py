@@ -12,6 +12,7 @@ from wayfare.llm.common import documents, held_out, table
 from wayfare.llm import line_templates
 from wayfare.llm.minhash import near_documents
 from wayfare.llm.packing import pack
+from wayfare.llm.ppm import score_documents
 from wayfare.llm.quality import fit_quality, score_quality
 from wayfare.llm.substrings import remove_repeats
 from wayfare.llm.subspace_join import near_vectors
@@ -29,6 +30,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, vectors.filter("vec_id % 100 = 0"))
@@ -74,6 +79,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_ppm": op2_ppm,
     "op3_top_k": op3_top_k,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_counts": op5_token_counts,
