@@ -124,7 +124,8 @@ def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = fingerprints(elements, sizes)[0] == np.asarray(part["node"])
             bounds = 8 * np.concatenate([[0], np.cumsum(sizes)])
             whole = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(elements)])
-            yield pa.RecordBatch.from_arrays([part["node"], part["part"], whole], ["node", "part", "elements"]).filter(pa.array(same))
+            columns = [part["node"], part["part"], part["size"], whole]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "part", "size", "elements"]).filter(pa.array(same))
 
 
 def _shared_counts(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -162,7 +163,8 @@ def _shared_counts(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def _linked(tile: pa.Table) -> pa.Table:
     """A spanning forest of the confirmed links in a tile."""
     tile = tile.combine_chunks()
-    node = np.asarray(tile["node"])
+    node, once = np.unique(np.asarray(tile["node"]), return_index=True)  # repeated rows give a node again
+    tile = tile.take(pa.array(once))
     sets = [np.frombuffer(x, np.uint64) for x in tile["elements"].to_pylist()]
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     forest = Forest(len(sets))
@@ -185,11 +187,11 @@ def _tiles(size: str) -> Column:
     return F.ceil(F.col(size) / TILE).cast("int")
 
 
-def confirmed_links(sets: DataFrame, parts: DataFrame) -> DataFrame:
-    """Forest (a, b) of the links among candidates: sets are (node, part, elements), parts (part, size: shingles)."""
-    total = parts.agg(F.sum("size")).first()[0] or 0
-    bins = max(1, -(-total // TILE))
-    placed = sets.join(parts, "part").withColumn("tiles", _tiles("size"))
+def confirmed_links(sets: DataFrame) -> DataFrame:
+    """Forest (a, b) of the links among candidates (node, part, size: shingles of the part, elements)."""
+    total = sets.agg(F.sum(F.octet_length("elements"))).first()[0] or 0
+    bins = max(1, -(-total // (8 * TILE)))
+    placed = sets.withColumn("tiles", _tiles("size"))
     small = placed.filter("tiles <= 1").withColumn("bin", F.pmod(F.xxhash64("part"), F.lit(bins)))
     links = _confirm(small, ["bin"])
     large = placed.filter("tiles > 1").withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
@@ -232,10 +234,10 @@ def near_documents(docs: DataFrame) -> DataFrame:
     parts = components(candidates.distinct()).select(F.col("id").alias("node"), F.col("component").alias("part"))
     nodes = there.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")).join(parts, "node")
     nodes = saved(nodes, "nodes")
-    sizes = nodes.groupBy("part").agg(F.sum("n").alias("size"))
-    texts = docs.join(nodes.select("doc_id", "node", "part"), "doc_id").select("node", "part", "text")
-    sets = saved(texts.mapInArrow(_filled, "node long, part long, elements binary"), "sets")
-    linked = components(confirmed_links(sets.dropDuplicates(["node"]), sizes)).withColumnRenamed("id", "node")
+    nodes = nodes.join(nodes.groupBy("part").agg(F.sum("n").alias("size")), "part").select("doc_id", "node", "part", "size")
+    texts = docs.join(nodes.hint("merge"), "doc_id").select("node", "part", "size", "text")
+    sets = saved(texts.mapInArrow(_filled, "node long, part long, size long, elements binary"), "sets")
+    linked = components(confirmed_links(sets)).withColumnRenamed("id", "node")
     placed = signed.select("doc_id", "n_shingles", "node").join(linked, "node", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     placed = placed.withColumn("component", F.when(alone, None).otherwise(F.coalesce("component", "node")))
