@@ -23,7 +23,7 @@ from wayfare.llm import common
 from wayfare.llm.vocabulary import STORE, ByteChunks, read_ranks
 
 #: Bytes of words that one recursive query works on.
-QUERY_BYTES = 1 << 18
+QUERY_BYTES = 1 << 19
 
 ENCODE = """
 WITH RECURSIVE step AS (
@@ -109,11 +109,16 @@ class Codec:
         self.bpe, self.chunks = RecursiveBpe(path), ByteChunks(pattern)
         self.ids: dict[str, bytes] = {}
         self.decoded: dict[str, bytes] = {}
+        self.words: dict[bytes, tuple[bytes, bytes]] = {}
 
     def _learn(self, chunks: list[str]) -> None:
         parts = [[p.encode() for p in self.chunks.pattern.findall(c)] for c in chunks]
-        words = list(set().union(*parts))
-        found = dict(zip(words, self.bpe.encode_all(words), strict=True))
+        words = list(set().union(*parts) - self.words.keys())
+        if len(self.words) + len(words) > STORE // 2:
+            self.words.clear()
+            words = list(set().union(*parts))
+        found = self.words
+        found.update(zip(words, self.bpe.encode_all(words), strict=True))
         for c, ps in zip(chunks, parts, strict=True):
             self.ids[c] = b"".join([found[p][0] for p in ps])
             self.decoded[c] = b"".join([found[p][1] for p in ps])
@@ -146,13 +151,12 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            for part in common.slices(batch):
-                found = own.texts(part["text"].to_pylist())
-                columns = [part["doc_id"]]
-                columns += [pa.array([len(i) // 4 for i, _ in found], pa.int64())]
-                columns += [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
+        for part in common.portions(batches):
+            found = own.texts(part["text"].to_pylist())
+            columns = [part["doc_id"]]
+            columns += [pa.array([len(i) // 4 for i, _ in found], pa.int64())]
+            columns += [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
 
     common.prepared(docs.sparkSession)
     return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(

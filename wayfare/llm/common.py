@@ -162,6 +162,19 @@ def slices(batch: pa.RecordBatch, most: int = 1 << 23) -> Iterator[pa.RecordBatc
         yield batch.slice(i, step)
 
 
+def portions(batches: Iterator[pa.RecordBatch], least: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they hold ``least`` bytes; larger ones in parts."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for part in slices(batch):
+            held.append(part)
+            if sum(p.nbytes for p in held) >= least:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def vector_blocks(batch: pa.RecordBatch, column: str = "embedding") -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers and vectors (as doubles) of the batch, by dimension; rows that are null, or hold null or
     non-finite components, are left out."""
