@@ -10,7 +10,7 @@ copies are left to document dedup.
 A first pass over all lines finds the leaves that enough documents share; only lines of these go on.
 Counts combine in the map tasks, and no line, leaf or template is gathered in one row.
 
-Null text: stays null, has no lines. Empty lines and lines of white space stay. A null id is a document of its own
+A column n_lines or n_dropped of the input is replaced. Null text: stays null, has no lines. Empty lines and lines of white space stay. A null id is a document of its own
 for each text; it is never the smallest, unless there is no other. Repeated rows get the same
 result. Other columns are carried along.
 """
@@ -74,22 +74,19 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents with their text less the recurring lines, and the number of lines before and dropped."""
-    dropped = recurring_lines(docs, min_docs).groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("_drop"))
+    dropped = recurring_lines(docs.select("doc_id", "text"), min_docs).groupBy("doc_id", "text_key")
+    dropped = dropped.agg(F.collect_set("pos").alias("_drop"))
     dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_drop")
     found = docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_key() == F.col("_key")), "left")
-    parts = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    return (
-        found.withColumn("_lines", parts)
-        .withColumn(
-            "text",
-            F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")),
-        )
-        .withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long"))
-        .withColumn("n_lines", F.greatest("n_lines", F.lit(0).cast("long")))
-        .withColumn("n_dropped", F.greatest("n_dropped", F.lit(0).cast("long")))
-        .select(*docs.columns, "n_lines", "n_dropped")
+    lines = F.split("text", "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
+    kept = F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n")
+    count = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
+    rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return found.withColumn("_lines", lines).select(
+        *(F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in rest),
+        count("_lines").alias("n_lines"),
+        count("_drop").alias("n_dropped"),
     )
 
 

@@ -113,7 +113,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = band_keys(signatures(elements, sizes))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64()))
             marks = [pa.array(f) for f in fingerprints(elements, sizes)]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), *marks, lists], ["doc_id", "n_shingles", "node", "check", "bands"])
+            columns = [part["doc_id"], part["text_key"], pa.array(sizes), *marks, lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "node", "check", "bands"])
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,10 +222,10 @@ def confirmed_links(sets: DataFrame) -> DataFrame:
 
 
 def near_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document."""
+    """doc_id, n_shingles, component_id, kept and text_key (hash of the text) for every document."""
     common.prepared(docs.sparkSession)
-    docs = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text")
-    schema = "doc_id long, n_shingles long, node long, check long, bands array<long>"
+    docs = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text", "xxhash64(text) AS text_key")
+    schema = "doc_id long, text_key long, n_shingles long, node long, check long, bands array<long>"
     signed = saved(docs.mapInArrow(_signed, schema), "signed")
     there = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     banded = there.select("node", F.explode("bands").alias("band"))
@@ -238,11 +239,17 @@ def near_documents(docs: DataFrame) -> DataFrame:
     texts = docs.join(nodes.hint("merge"), "doc_id").select("node", "part", "size", "text")
     sets = saved(texts.mapInArrow(_filled, "node long, part long, size long, elements binary"), "sets")
     linked = components(confirmed_links(sets)).withColumnRenamed("id", "node")
-    placed = signed.select("doc_id", "n_shingles", "node").join(linked, "node", "left")
+    placed = signed.select("doc_id", "text_key", "n_shingles", "node").join(linked, "node", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     placed = placed.withColumn("component", F.when(alone, None).otherwise(F.coalesce("component", "node")))
     lowest = placed.groupBy("component").agg(F.min("doc_id").alias("lowest")).filter("component IS NOT NULL")
     result = placed.join(lowest, "component", "left").withColumn("component_id", F.coalesce("lowest", "doc_id"))
-    return result.select(
-        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    )
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return result.select("doc_id", "n_shingles", "component_id", kept, "text_key")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document, with all its columns, of every group of near copies; equal rows become one."""
+    kept = near_documents(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_key"))
+    return docs.join(kept.distinct(), same).dropDuplicates(["_id", "_key"]).select(docs.columns)

@@ -191,3 +191,19 @@ def score_quality(docs: DataFrame, machine: Machine, threshold: float = THRESHOL
     common.prepared(docs.sparkSession)
     scored = _input(docs).mapInArrow(score, "doc_id long, score double")
     return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def good_documents(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, that the classifier accepts."""
+    model = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.slices(batch):
+                n_chars = part["n_chars"] if "n_chars" in part.schema.names else pa.nulls(part.num_rows)
+                chars = np.asarray(n_chars.cast(pa.float64()).fill_null(float("nan")), np.float64)
+                scores = model.value.scores(*features(*common.buffers(part["text"]), chars))
+                yield part.filter(pa.array(scores >= threshold))
+
+    common.prepared(docs.sparkSession)
+    return docs.mapInArrow(keep, docs.schema)

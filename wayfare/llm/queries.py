@@ -59,7 +59,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_documents(documents(spark, sf_dir))
+    return near_documents(documents(spark, sf_dir)).drop("text_key")
 
 
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +73,8 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = remove_repeats(documents(spark, sf_dir))
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    kept = remove_repeats(documents(spark, sf_dir), layout=False)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfare.llm import common
 from wayfare.llm.common import saved
@@ -149,20 +150,35 @@ def removed_words(n_words: int, places: list[dict], firsts: list[dict]) -> np.nd
     return np.cumsum(change[:-1]) > 0
 
 
-def _without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in common.slices(batch):
-            rows = []
-            for text, places, firsts in zip(*(part[c].to_pylist() for c in ("text", "places", "firsts")), strict=True):
-                words = (text or "").encode().split()
-                n = len(words)
-                if places:
-                    gone = removed_words(n, places, firsts or [])
-                    words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                rows.append((n, n - len(words), b" ".join(words).decode()))
-            n, removed, kept = list(zip(*rows, strict=True)) or [()] * 3
-            columns = [part["doc_id"], part["text_key"], pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_words", "n_removed", "kept"])
+def _kept_text(text: bytes, gone: np.ndarray, layout: bool) -> bytes:
+    """The words that stay, joined by single spaces; with layout, whole stretches of the text as they are."""
+    if not layout:
+        return b" ".join([w for w, g in zip(text.split(), gone.tolist(), strict=True) if not g])
+    if not gone.any():
+        return text
+    starts, ends, _ = common.words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=1, append=1))
+    return b" ".join([text[starts[a] : ends[b - 1]] for a, b in edge.reshape(-1, 2).tolist()])
+
+
+def _without_repeats(layout: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.slices(batch):
+                n_words, n_removed, kept = [], [], []
+                for text, places, firsts in zip(*(part[c].to_pylist() for c in ("text", "_places", "_firsts")), strict=True):
+                    raw = (text or "").encode()
+                    n = len(raw.split())
+                    gone = removed_words(n, places or [], firsts or [])
+                    n_words.append(n)
+                    n_removed.append(int(gone.sum()))
+                    kept.append(None if text is None and layout else _kept_text(raw, gone, layout).decode())
+                names = [c for c in part.schema.names if c not in ("_places", "_firsts")]
+                columns = [pa.array(kept, pa.string()) if c == "text" else part[c] for c in names]
+                columns += [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "n_removed"])
+
+    return run
 
 
 def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -189,13 +205,22 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return places, firsts
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key (hash of the text), n_words, n_removed and the kept words, joined by single spaces."""
+def remove_repeats(docs: DataFrame, layout: bool = True) -> DataFrame:
+    """The documents without repeated words, with n_words and n_removed.
+
+    The text keeps its white space within the stretches that stay; without ``layout`` its words are joined by single spaces,
+    and a null text becomes empty. Input columns n_words and n_removed are replaced.
+    """
     common.prepared(docs.sparkSession)
-    docs = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "xxhash64(text) AS text_key", "text")
-    places, firsts = repeated_windows(docs)
+    docs = docs.drop("n_words", "n_removed")
+    keyed = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "xxhash64(text) AS text_key", "text")
+    places, firsts = repeated_windows(keyed)
     spans = places.join(firsts, ["doc_id", "text_key"], "left").select(
-        "doc_id", "text_key", F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"))).alias("places"), "firsts"
+        F.col("doc_id").alias("_id"),
+        F.col("text_key").alias("_key"),
+        F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"))).alias("_places"),
+        F.col("firsts").alias("_firsts"),
     )
-    joined = docs.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text_key", "text", "places", "firsts")
-    return joined.mapInArrow(_without_repeats, "doc_id long, text_key long, n_words long, n_removed long, kept string")
+    joined = docs.join(spans, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_words long, n_removed long").fields])
+    return joined.drop("_id", "_key").mapInArrow(_without_repeats(layout), schema)
