@@ -151,6 +151,8 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, value = (np.asarray(rows[c].combine_chunks().flatten()) for c in ("i", "x"))
         counts = np.asarray(rows["i"].combine_chunks().value_lengths(), np.int64)
         machine.fit(index, value, counts, np.asarray(rows["quality"], np.float32))
+    else:
+        machine.vector[:] = 0
     parts = [machine.weight.tobytes(), machine.vector.tobytes(), np.float32(machine.bias).tobytes()]
     yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], ["weight", "vector", "bias"])
 
