@@ -121,12 +121,15 @@ def test_additive_scorer_by_hand(spark):
 
 
 def test_report_has_ten_lines_per_trip(spark):
-    scored = score.score_additive(add_serving_features(demo_requests(spark)))
+    scored = score.score_or_fall_back(add_serving_features(demo_requests(spark)), None)
     report = {(r.id, r.metric): r.value for r in score.score_report(scored).collect()}
     assert len(report) == 10 * len(DEMO)
     assert report["demo2", "Distance (km)"] == "21.48"  # 21.4750 km rounded to 2 places
     assert report["demo2", "Airport Trip Factor"] == "Yes"
     assert report["demo1", "Peak Hour Factor"] == "Yes"
+    assert report["demo1", "Processing Mode"] == "Demo Mode" and report["demo1", "Input Features"] == "9 columns"
+    live = score.score_report(scored.withColumn("scorer", F.lit("model"))).filter("metric = 'Processing Mode'")
+    assert {r.value for r in live.collect()} == {"Live Model"}
 
 
 def test_noise_is_bounded_and_repeatable(trips):

@@ -3,10 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tests.demo import demo_requests
 from wayfare import schema as S
-from wayfare.operators import clean, score, stats
+from wayfare.catalogue.queries import QUERIES
+from wayfare.operators import clean, score
 from wayfare.plans import explore, serve
 from wayfare.sources import scratch, sinks
 from wayfare.sources.trips import read_trips_csv, requests_from_trips, stream_events, trips_from_events
@@ -69,30 +69,57 @@ def test_csv_without_fractions_of_a_second(spark, tmp_path):
     assert str(row.pickup_datetime) == "2016-03-14 17:24:55" and row.trip_duration == 455
 
 
-def test_report_export_is_bounded(spark, cleaned):
-    table = stats.frequency(cleaned, "vendor_id")
+def test_reports_of_any_size_are_written_whole(spark):
     path = scratch.run_dir(spark, "test-report")
-    sinks.export_report_csv(table, path)
-    assert spark.read.option("header", True).csv(path).count() == table.count()
-    with pytest.raises(ValueError, match="more than 10 rows"):
-        sinks.export_report_csv(cleaned, path, max_rows=10)
+    sinks.export_csv(spark.range(100_001), path)
+    assert spark.read.option("header", True).csv(path).count() == 100_001
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
-    class Conf:
-        def __init__(self, **values):
-            self.values = values
+def test_csv_columns_are_found_by_their_header(spark, trips):
+    path = scratch.run_dir(spark, "test-csv")
+    sinks.export_csv(trips.select(*reversed(S.TRIP_COLUMNS)).withColumn("extra", F.lit(1)), path)
+    assert text_rows(read_trips_csv(spark, path)) == text_rows(trips)
+    with pytest.raises(ValueError, match="trip_duration"):
+        read_trips_csv(spark, _written(spark, trips.drop("trip_duration")))
+
+
+def _written(spark, df) -> str:
+    path = scratch.run_dir(spark, "test-csv")
+    sinks.export_csv(df, path)
+    return path
+
+
+def test_malformed_lines_are_accounted_for(spark, tmp_path):
+    lines = [
+        "id1,2,2016-03-14 17:24:55,2016-03-14 17:32:30,1,-73.98,40.76,-73.96,40.77,N,455",
+        "id2,2,03/14/2016 17:24,2016-03-14 17:32:30,1,-73.98,40.76,-73.96,40.77,N,455",
+        "id3,2,2016-03-14 17:24:55,2016-03-14 17:32:30,1.0,-73.98,40.76,-73.96,40.77,N,455",
+        "id4,2,2016-03-14 17:24:55,2016-03-14 17:32:30,,-73.98,40.76,-73.96,40.77,,455",
+    ]
+    (tmp_path / "t.csv").write_text("\n".join([",".join(S.TRIP_COLUMNS), *lines]) + "\n")
+    good, bad = explore.ingest_csv(spark, str(tmp_path / "t.csv"), scratch.run_dir(spark, "test-trips"))
+    assert sorted(r.id for r in good.collect()) == ["id1", "id4"]
+    assert sorted(r.line for r in bad.collect()) == lines[1:3]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_trips_csv(spark, str(tmp_path / "t.csv")).collect()
+
 
+def test_scratch_lies_in_a_shared_folder(spark):
+    class Conf(dict):
         def get(self, key, default=None):
-            return self.values.get(key.replace(".", "_"), default)
+            return dict.get(self, key, default)
+
+        def set(self, key, value):
+            self[key] = value
 
     class Session:
         def __init__(self, **values):
-            self.conf = Conf(**values)
+            self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
 
     assert scratch.scratch_root(Session(spark_checkpoint_dir="/shared/x/")) == "/shared/x"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.scratch_root(Session(spark_master="yarn"))
+    unset = Session()
+    unset.conf["spark.sql.warehouse.dir"] = "hdfs://store/warehouse"
+    assert scratch.scratch_root(unset) == "hdfs://store/warehouse/_scratch" == unset.conf["spark.checkpoint.dir"]
     assert scratch.run_dir(spark, "a") != scratch.run_dir(spark, "a")
 
 
@@ -145,22 +172,34 @@ def test_explore_job_writes_everything(spark, trips):
     assert set(reports) >= {"funnel", "correlation", "hour_profile", "positions_zoomed"}
 
 
-NO_FIT = [
-    n
-    for n in entry.queries()
-    if not any(k in n for k in ("model", "grid", "stream", "cluster", "interval", "scaled", "poly", "ridge", "ols", "index"))
-]
+def native(df) -> str:
+    """The plan, if it has no Python worker and no product of two tables."""
+    text = plan(df)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text, node
+    return text
 
 
-@pytest.mark.parametrize("name", NO_FIT)
+@pytest.mark.parametrize("name", QUERIES)
 def test_plans_stay_native(spark, sf_dir, name):
-    """No Python worker, no product of two tables, no unbounded single-task window."""
-    text = plan(entry.queries()[name](spark, sf_dir))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text, node
+    text = native(QUERIES[name](spark, sf_dir))
     assert "props" not in text.split("ReadSchema")[-1].split("\n")[0]
 
 
+def test_stream_plans_stay_native(spark, sf_dir):
+    stream = requests_from_trips(trips_from_events(stream_events(spark, sf_dir)))
+    for df in (serve.score_requests(stream), serve.rejected_requests(stream)):
+        native(df)
+
+
+def test_explore_parses_the_csv_once(spark, trips, monkeypatch):
+    """Whatever the job runs, only the ingest reads the text; everything after it reads Parquet."""
+    path = _written(spark, trips)
+    good, bad = explore.ingest_csv(spark, path, scratch.run_dir(spark, "test-trips"))
+    for df in [bad, clean.clean_trips(good), *explore.raw_reports(good).values()]:
+        assert "Scan csv" not in plan(df)
+
+
 def test_cleaning_needs_no_shuffle(cleaned):
     assert "Exchange" not in plan(cleaned)
 

@@ -16,7 +16,10 @@ def test_jobs_end_to_end(spark, trips):
     main(["explore", "--trips", raw, "--clean", table, "--reports", f"{root}/reports"])
     assert sinks.read_clean(spark, table).count() == 886
 
-    main(["train", "--clean", table, "--model", model, "--metrics", f"{root}/metrics"])
+    outputs = ["--metrics", f"{root}/metrics", "--residuals", f"{root}/residuals", "--grid", f"{root}/grid"]
+    main(["train", "--clean", table, "--model", model, *outputs])
+    assert spark.read.option("header", True).csv(f"{root}/residuals").count() == 24
+    assert spark.read.option("header", True).csv(f"{root}/grid").count() == 9
     metrics = spark.read.option("header", True).csv(f"{root}/metrics")
     assert {r.model for r in metrics.collect()} == {"Baseline", "+Interaction", "Optimized"}
 
@@ -36,6 +39,18 @@ def test_jobs_end_to_end(spark, trips):
     assert spark.read.parquet(f"{root}/bad").count() == spark.read.parquet(f"{root}/live-bad").count()
 
 
+def test_train_reads_the_exported_csv_and_missing_models_are_errors(spark, cleaned, trips):
+    root = scratch.run_dir(spark, "test-jobs")
+    sinks.export_csv(cleaned, f"{root}/clean")
+    main(["train", "--format", "csv", "--clean", f"{root}/clean", "--model", f"{root}/model", "--metrics", f"{root}/metrics"])
+    requests_from_trips(trips).write.parquet(f"{root}/requests")
+    score = ["score", "--format", "parquet", "--requests", f"{root}/requests", "--out", f"{root}/out", "--rejected", f"{root}/bad"]
+    with pytest.raises(SystemExit, match="no model"):
+        main([*score, "--model", f"{root}/nothing"])
+    main([*score, "--model", f"{root}/nothing", "--fall-back"])
+    assert {r.scorer for r in spark.read.parquet(f"{root}/out").select("scorer").distinct().collect()} == {"rules"}
+
+
 def test_jobs_need_their_options():
     with pytest.raises(SystemExit):
         parser().parse_args(["train", "--clean", "x"])

@@ -141,6 +141,35 @@ def test_missing_model_falls_back_to_the_rule(spark, trips):
     assert {r.scorer for r in scored.select("scorer").distinct().collect()} == {"rules"}
 
 
+def test_damaged_model_is_an_error(spark, parts):
+    path = scratch.run_dir(spark, "test-model")
+    store.save_model(M.fit_variants(parts[0], [M.BASELINE_7])[M.BASELINE_7.name], path)
+    spark.createDataFrame([("garbage",)], "value string").write.mode("overwrite").text(f"{path}/metadata")
+    with pytest.raises(Exception):
+        store.load_model(path)
+
+
+def test_fits_do_not_depend_on_the_layout_of_the_input(parts):
+    found = [
+        M.fit_variants(parts[0].repartition(n), [M.BASELINE])[M.BASELINE.name].stages[-1].coefficients.toArray() for n in (1, 3, 16)
+    ]
+    assert np.allclose(found[0], found[1], atol=1e-9) and np.allclose(found[0], found[2], atol=1e-9)
+
+
+def test_clusters_do_not_depend_on_shuffle_settings(spark, parts):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    found = []
+    try:
+        for n, adaptive in ((3, "true"), (8, "false"), (200, "true")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            found.append(np.array(M.cluster_centres(M.fit_clusters(parts[0].repartition(n)))))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert np.allclose(found[0], found[1], atol=1e-6) and np.allclose(found[0], found[2], atol=1e-6)
+
+
 def test_one_pass_metrics_equal_the_evaluator(parts):
     fitted = M.fit_variants(parts[0], [M.BASELINE_7, M.BASELINE])
     predicted = M.predict_variants(parts[1], fitted, [M.BASELINE_7, M.BASELINE])
@@ -155,7 +184,7 @@ def test_one_pass_metrics_equal_the_evaluator(parts):
 
 def test_train_and_save_keeps_the_best(spark, cleaned):
     path = scratch.run_dir(spark, "test-best")
-    name, table = train.train_and_save(cleaned, path, reg_params=(0.01,), elastic_nets=(0.0,), folds=2)
+    name, table, _ = train.train_and_save(cleaned, path, reg_params=(0.01,), elastic_nets=(0.0,), folds=2)
     rows = {r.model: r.rmsle for r in table.collect()}
     assert set(rows) == {"Baseline", "+Interaction", "Optimized"}
     assert rows[name] == min(rows.values())

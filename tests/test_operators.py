@@ -170,11 +170,6 @@ def test_split_does_not_depend_on_partitioning(cleaned):
     assert len(ids) / cleaned.count() == pytest.approx(0.7, abs=0.05)
 
 
-def test_random_split_covers_all_rows(cleaned):
-    train, test = split.random_split(cleaned)
-    assert train.count() + test.count() == cleaned.count()
-
-
 def test_validation_reasons(spark):
     good = demo_requests(spark).limit(1)
     bad = {
@@ -219,3 +214,18 @@ def test_metrics_against_numpy(spark):
 def test_best_model_breaks_ties_by_name(spark):
     table = spark.createDataFrame([("b", 0.2), ("a", 0.2), ("c", 0.3)], "model string, rmsle double")
     assert metrics.best_model(table).first().model == "a"
+
+
+def test_exact_profile_leaves_nulls_out(spark):
+    df = spark.createDataFrame([(1, 10), (1, 20), (1, 30), *[(1, None)] * 4, (2, None)], "h int, d int")
+    exact = [tuple(r) for r in stats.exact_group_profile(df, "h", "d").collect()]
+    assert exact == [tuple(r) for r in stats.group_profile(df, "h", "d").collect()]
+    assert exact[0] == (1, 7, 10, 10, 20, 30, 30, 20.0, 10.0, 20)
+    with pytest.raises(TypeError, match="group_profile"):
+        stats.exact_group_quartiles(df.withColumn("d", df["d"].cast("double")), "h", "d")
+
+
+def test_split_keeps_rows_without_an_id(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "id string")
+    train, test = split.hash_split(df)
+    assert train.count() + test.count() == 3

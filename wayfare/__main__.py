@@ -10,40 +10,63 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
+from wayfare.operators import metrics, stats, tuning
 from wayfare.plans import explore, serve, train
 from wayfare.schema import REQUEST_SCHEMA
-from wayfare.sources import models, sinks
+from wayfare.sources import models, scratch, sinks
 from wayfare.sources.trips import read_trips_csv, read_trips_parquet, stream_requests
 from wayfare.streaming.score import start_quarantine, start_scoring
 
 
-def _read(spark: SparkSession, path: str, **csv) -> DataFrame:
-    return read_trips_csv(spark, path, **csv) if path.rstrip("/").endswith(".csv") else read_trips_parquet(spark, path)
+def _model(args: argparse.Namespace):
+    """The model that was asked for; without one at the path the rule scores only if ``--fall-back`` says so."""
+    if not args.model:
+        return None
+    model = models.load_model(args.model)
+    if model is None and not args.fall_back:
+        raise SystemExit(f"no model at {args.model}; --fall-back scores by rule")
+    return model
 
 
 def run_explore(spark: SparkSession, args: argparse.Namespace) -> None:
-    explore.explore(spark, _read(spark, args.trips), args.clean, args.reports)
+    if args.format == "csv":
+        trips, rejected = explore.ingest_csv(spark, args.trips, args.table or scratch.run_dir(spark, "trips"))
+        if args.reports:
+            sinks.export_csv(rejected, f"{args.reports}/malformed")
+    else:
+        trips = read_trips_parquet(spark, args.trips)
+    explore.explore(spark, trips, args.clean, args.reports, rebalance=args.rebalance)
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
-    _, table = train.train_and_save(sinks.read_clean(spark, args.clean), args.model)
-    sinks.export_report_csv(table, args.metrics)
+    read = sinks.read_clean_csv if args.format == "csv" else sinks.read_clean
+    clean = read(spark, args.clean)
+    _, table, comparison = train.train_and_save(clean, args.model)
+    sinks.export_csv(table, args.metrics)
+    if args.residuals:
+        name = metrics.best_model(table).first()["model"]
+        column = next(v.prediction for v in train.COMPARED if v.name == name)
+        left = metrics.residuals(comparison.predictions, column)
+        sinks.export_csv(stats.group_profile(left, "pickup_hour", "residual_sec"), args.residuals)
+    if args.grid:
+        sinks.export_csv(tuning.score_table(clean, comparison.tuned), args.grid)
 
 
 def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
-    requests = _read(spark, args.requests, schema=REQUEST_SCHEMA)
-    model = models.load_model(args.model) if args.model else None
-    serve.score_requests(requests, model).write.mode("overwrite").parquet(args.out)
+    if args.format == "csv":
+        requests = read_trips_csv(spark, args.requests, schema=REQUEST_SCHEMA)
+    else:
+        requests = read_trips_parquet(spark, args.requests)
+    serve.score_requests(requests, _model(args)).write.mode("overwrite").parquet(args.out)
     serve.rejected_requests(requests).write.mode("overwrite").parquet(args.rejected)
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = stream_requests(spark, args.requests)
-    model = models.load_model(args.model) if args.model else None
     queries = [
-        start_scoring(requests, args.out, f"{args.checkpoint}/scored", model, once=args.once),
+        start_scoring(requests, args.out, f"{args.checkpoint}/scored", _model(args), once=args.once),
         start_quarantine(requests, args.rejected, f"{args.checkpoint}/rejected", once=args.once),
     ]
     for query in queries:
@@ -63,10 +86,15 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         return sub
 
-    job("explore", run_explore, ("trips", "clean"), ("reports",))
-    job("train", run_train, ("clean", "model", "metrics"))
-    job("score", run_score, ("requests", "out", "rejected"), ("model",))
+    exploring = job("explore", run_explore, ("trips", "clean"), ("reports", "table"))
+    exploring.add_argument("--rebalance", action=argparse.BooleanOptionalAction, default=True)
+    training = job("train", run_train, ("clean", "model", "metrics"), ("residuals", "grid"))
+    scoring = job("score", run_score, ("requests", "out", "rejected"), ("model",))
     stream = job("stream", run_stream, ("requests", "out", "rejected", "checkpoint"), ("model",))
+    for sub, usual in ((exploring, "csv"), (training, "parquet"), (scoring, "csv")):
+        sub.add_argument("--format", choices=("csv", "parquet"), default=usual, help="of the input")
+    for sub in (scoring, stream):
+        sub.add_argument("--fall-back", action="store_true", help="score by rule if there is no model at the path")
     stream.add_argument("--once", action="store_true", help="drain what is there, then stop")
     return top
 

@@ -413,8 +413,8 @@ def _fixed(column: str, places: int) -> str:
 
 REPORT_CELLS = [
     ("Processing Mode", "'Demo Mode'"),
-    ("Input Features", "'8 raw features'"),
-    ("Generated Features", "'15+ engineered features'"),
+    ("Input Features", f"'{len(S.REQUEST_COLUMNS)} columns'"),
+    ("Generated Features", f"'{len(S.SERVING_COLUMNS)} columns'"),
     ("Log Prediction", _fixed("log_prediction", 4)),
     ("Duration (seconds)", _fixed("duration_seconds", 0)),
     ("Duration (minutes)", _fixed("duration_minutes", 1)),
@@ -585,6 +585,82 @@ t AS (SELECT * EXCLUDE (w, mx, my), exp({prediction('baseline', S.BASE_9)}) - 1e
   FROM filled CROSS JOIN baseline_weights),
 scored AS ({outputs("t")})"""
 
+REPORT_MODEL = clean(
+    " UNION ALL ".join(
+        f"SELECT id, '{metric}' AS metric, {value.replace('Demo Mode', 'Live Model')} AS value FROM scored"
+        for metric, value in REPORT_CELLS
+    ),
+    MODEL_SCORED,
+)
+HOUR_INDEX = clean(
+    "SELECT pickup_hour, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(pickup_hour AS STRING)) - 1 AS INT) "
+    "AS hour_idx, count(*) AS trips FROM clean GROUP BY pickup_hour"
+)
+
+# Sweeps of coordinate descent; the last ones change nothing that is shown.
+SWEEPS = 100
+
+
+def elastic_net(points: str, features: tuple[str, ...] = S.BASE_9) -> str:
+    """Elastic-net fits by coordinate descent on correlations, as CTEs ending in ``net_weights``.
+
+    ``points`` are rows (penalty, alpha). There is a fit for every point on all training rows (fold -1) and
+    on those outside each fold. Penalties are in units of the label's spread.
+    """
+    k = len(features)
+    matrix = ", ".join("[" + ", ".join("1e0" if a == b else f"corr({a}, {b})" for b in features) + "]" for a in features)
+    parts = ", ".join(
+        f"[{', '.join(e.format(f) for f in features)}] AS {name}"
+        for e, name in (("corr({}, log_duration)", "c"), ("stddev_pop({})", "sx"), ("avg({})", "mx"))
+    )
+    return f""",
+net_train AS (SELECT *, {hash_bits('id', 1)} % 3 AS fold FROM train),
+net_moments AS (
+  SELECT f, [{matrix}] AS g, {parts}, stddev_pop(log_duration) AS sy, avg(log_duration) AS my
+  FROM net_train JOIN (SELECT unnest([-1, 0, 1, 2]) AS f) ON fold <> f GROUP BY f),
+net_steps AS (
+  SELECT f, penalty, alpha, 0 AS step, list_transform(range(1, {k + 1}), lambda i: 0e0) AS w
+  FROM net_moments CROSS JOIN ({points}) AS p(penalty, alpha)
+  UNION ALL
+  SELECT f, penalty, alpha, step + 1, list_transform(range(1, {k + 1}), lambda i: CASE WHEN i = turn
+      THEN sign(z) * greatest(abs(z) - penalty * alpha / sy, 0) / (1 + penalty * (1 - alpha) / sy) ELSE w[i] END)
+  FROM (SELECT s.*, sy, step % {k} + 1 AS turn,
+      c[step % {k} + 1] - list_dot_product(g[step % {k} + 1], w) + w[step % {k} + 1] AS z
+    FROM net_steps s JOIN net_moments USING (f) WHERE step < {SWEEPS * k})),
+net_weights AS (
+  SELECT f, penalty, alpha, my, mx, list_transform(range(1, {k + 1}), lambda i: w[i] * sy / sx[i]) AS b
+  FROM net_steps JOIN net_moments USING (f) WHERE step = {SWEEPS * k})"""
+
+
+ELASTIC_NET = clean(
+    f"SELECT unnest([{', '.join(repr(f) for f in S.BASE_9)}, '(intercept)']) AS feature, "
+    f"unnest(list_transform(list_append(b, my - list_dot_product(b, mx)), lambda v: {r('v', None, FITTED_PLACES)})) "
+    "AS coefficient FROM net_weights WHERE f = -1",
+    MODEL_FRAME + elastic_net("VALUES (5e-2, 3e-1)"),
+)
+GRID = ", ".join(f"({p}e-2, {a}e-1)" for p in (1, 5, 10) for a in (0, 3, 7))
+GRID_ERRORS = MODEL_FRAME + elastic_net(f"VALUES {GRID}") + f""",
+net_errors AS (
+  SELECT penalty, alpha, f, sqrt(avg(power(log_duration - my - list_dot_product(b, list_transform(range(1, {len(S.BASE_9) + 1}),
+      lambda i: x[i] - mx[i])), 2))) AS rmse
+  FROM (SELECT fold, log_duration, [{', '.join(f'CAST({f} AS DOUBLE)' for f in S.BASE_9)}] AS x FROM net_train)
+  JOIN net_weights ON fold = f GROUP BY penalty, alpha, f),
+net_scores AS (SELECT penalty, alpha, avg(rmse) AS mean_rmse FROM net_errors GROUP BY penalty, alpha)"""
+GRID_SCORES = clean(
+    f"SELECT penalty AS reg_param, alpha AS elastic_net, {r('mean_rmse', 'mean_rmse', FITTED_PLACES)} FROM net_scores",
+    GRID_ERRORS,
+)
+BEST_POINT = clean(
+    "SELECT penalty AS reg_param, alpha AS elastic_net FROM net_scores ORDER BY mean_rmse LIMIT 1", GRID_ERRORS
+)
+
+LOST = "CASE WHEN CAST(substr(id, 3) AS BIGINT) % 50 <> 1 THEN id ELSE '' END"
+NULL_IDS = clean(
+    f"SELECT CAST({hash_bits(LOST, 0)} % 100 < 70 AS INT) AS in_training, CAST({hash_bits(LOST, 1)} % 3 AS INT) AS fold, "
+    "count(*) AS rows FROM clean GROUP BY 1, 2"
+)
+BROKEN = "CAST(substr(id, 3) AS BIGINT) % 61 = 0 OR CAST(substr(id, 3) AS BIGINT) % 67 = 0"
+
 RULE_TESTED = clean("", f""",
 ruled AS (SELECT *, log_duration AS y, ln(1e0 + ({ADDITIVE})) AS p FROM clean)""")
 
@@ -645,6 +721,22 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "clean_sink_roundtrip": clean(f"SELECT {CLEAN_SELECT} FROM clean"),
     "clean_csv_roundtrip": clean(f"SELECT {CLEAN_SELECT} FROM clean"),
+    "csv_scan_malformed": trips(
+        f"SELECT {TRIP_SELECT}, (SELECT count(*) FROM trips WHERE {BROKEN}) AS rejected FROM trips WHERE NOT ({BROKEN})"
+    ),
+    "nullable_group_profile": trips(
+        _hour_profile(
+            "seats",
+            "(SELECT CAST(hour(pickup_datetime) AS INT) AS pickup_hour, passenger_count AS seats FROM trips)",
+            None,
+        )
+    ),
+    "split_with_null_ids": NULL_IDS,
+    "hour_index": HOUR_INDEX,
+    "elastic_net_base9": ELASTIC_NET,
+    "grid_scores_base9": GRID_SCORES,
+    "best_grid_point": BEST_POINT,
+    "score_report_model": REPORT_MODEL,
     "csv_scan": trips(f"SELECT {TRIP_SELECT} FROM trips"),
     "csv_scan_inferred": trips(f"SELECT {TRIP_SELECT} FROM trips"),
     "request_validation": VALIDATION,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +105,38 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(trips.read_trips_csv(spark, path, infer=True).select(*S.TRIP_COLUMNS))
 
 
+def _number() -> Column:
+    return F.substring("id", 3, 20).cast("long")
+
+
+def csv_scan_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV with broken cells and its columns in another order: the good rows, and how many were rejected."""
+    exported, broken = scratch.run_dir(spark, "trips-csv"), scratch.run_dir(spark, "trips-broken")
+    sinks.export_csv(raw(spark, sf_dir), exported)
+    text = spark.read.option("header", True).csv(exported)
+    text = text.withColumns(
+        {
+            "vendor_id": F.when(_number() % 61 == 0, "two").otherwise(F.col("vendor_id")),
+            "pickup_datetime": F.when(_number() % 67 == 0, "03/14/2016 17:24").otherwise(F.col("pickup_datetime")),
+        }
+    )
+    text.select(*reversed(text.columns)).write.option("header", True).csv(broken)
+    good, rejected = explore.ingest_csv(spark, broken, scratch.run_dir(spark, "trips"))
+    return rounded(good.withColumn("rejected", F.lit(rejected.count())))
+
+
+def split_with_null_ids(df: DataFrame) -> DataFrame:
+    """Rows of the two sides and the folds, where some trips have lost their id."""
+    lost = df.withColumn("id", F.when(_number() % 50 != 1, F.col("id")))
+    sides = [side.withColumn("in_training", F.lit(i)) for side, i in zip(split.hash_split(lost), (1, 0), strict=True)]
+    return sides[0].union(sides[1]).groupBy("in_training", split.fold_of().alias("fold")).agg(F.count("*").alias("rows"))
+
+
+def nullable_group_profile(df: DataFrame) -> DataFrame:
+    hours = df.select(calendar.pickup_hour("pickup_datetime").alias("pickup_hour"), F.col("passenger_count").alias("seats"))
+    return stats.exact_group_profile(hours, "pickup_hour", "seats")
+
+
 def request_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests with date and time apart, as a form sends them."""
     ts = "pickup_datetime"
@@ -204,6 +237,13 @@ def vendor_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hour_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 values by frequency: the index that clusters get as well."""
+    df = M.model_frame(cleaned(spark, sf_dir))
+    indexed = M.indexer({"pickup_hour": "hour_idx"}).fit(df).transform(df)
+    return indexed.groupBy("pickup_hour", F.col("hour_idx").cast("int").alias("hour_idx")).agg(F.count("*").alias("trips"))
+
+
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine base features of the test rows, scaled by the training rows."""
     train_rows, test_rows = split_rows(spark, sf_dir)
@@ -340,6 +380,41 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.best_model(train.compare(cleaned(spark, sf_dir)).table()))
 
 
+ELASTIC = replace(M.BASELINE, name="Elastic", reg_param=0.05, elastic_net=0.3)
+
+
+def elastic_net_base9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of an elastic net, on the scale of the features."""
+    train_rows, _ = split_rows(spark, sf_dir)
+    fitted = M.fit_variants(train_rows, [ELASTIC])[ELASTIC.name]
+    scale, line = fitted.stages[-2], fitted.stages[-1]
+    slopes = [float(c / s) for c, s in zip(line.coefficients, scale.std, strict=True)]
+    level = float(line.intercept - sum(b * m for b, m in zip(slopes, scale.mean, strict=True)))
+    rows = [*zip(S.BASE_9, slopes, strict=True), ("(intercept)", level)]
+    return rounded(spark.createDataFrame(rows, "feature string, coefficient double"), FITTED_PLACES)
+
+
+def _tuned_base9(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuning.Tuned]:
+    train_rows, _ = split_rows(spark, sf_dir)
+    return train_rows, tuning.cross_validate(train_rows, M.BASELINE)
+
+
+def grid_scores_base9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean held-out error of each grid point, for the model without clusters."""
+    return rounded(tuning.score_table(*_tuned_base9(spark, sf_dir)), FITTED_PLACES)
+
+
+def best_grid_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tuned = _tuned_base9(spark, sf_dir)
+    rows = [(tuned.variant.reg_param, tuned.variant.elastic_net)]
+    return spark.createDataFrame(rows, "reg_param double, elastic_net double")
+
+
+def score_report_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail report over model scores."""
+    return score.score_report(score.score_or_fall_back(featured(spark, sf_dir), _saved_baseline(spark, sf_dir)))
+
+
 def _saved_baseline(spark: SparkSession, sf_dir: str):
     train_rows, _ = split_rows(spark, sf_dir)
     fitted = M.fit_variants(train_rows, [M.BASELINE])[M.BASELINE.name]
@@ -441,6 +516,14 @@ QUERIES: dict[str, Query] = {
     "clean_csv_roundtrip": clean_csv_roundtrip,
     "csv_scan": csv_scan,
     "csv_scan_inferred": csv_scan_inferred,
+    "csv_scan_malformed": csv_scan_malformed,
+    "nullable_group_profile": on_raw(nullable_group_profile),
+    "split_with_null_ids": on_clean(split_with_null_ids),
+    "hour_index": hour_index,
+    "elastic_net_base9": elastic_net_base9,
+    "grid_scores_base9": grid_scores_base9,
+    "best_grid_point": best_grid_point,
+    "score_report_model": score_report_model,
     "request_validation": request_validation,
     "rejection_reasons": rejection_reasons,
     "quarantine": quarantine,
@@ -448,7 +531,7 @@ QUERIES: dict[str, Query] = {
     "score_rules_factors": on_featured(lambda df: scored(score.score_factors(df))),
     "score_rules_additive": on_featured(lambda df: scored(score.score_additive(df))),
     "noisy_score": on_featured(noisy_score),
-    "score_report_long": on_featured(lambda df: score.score_report(score.score_additive(df))),
+    "score_report_long": on_featured(lambda df: score.score_report(score.score_or_fall_back(df, None))),
     "score_fallback": score_fallback,
     "stream_score_rules": stream_score_rules,
     "stream_quarantine": stream_quarantine,

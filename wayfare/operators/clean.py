@@ -34,7 +34,8 @@ class CleanRules:
         )
 
     def duration_ok(self) -> Column:
-        return F.col("trip_duration").between(*self.duration_range)
+        """A trip also needs its pickup time, from which the calendar features come."""
+        return F.col("trip_duration").between(*self.duration_range) & F.col("pickup_datetime").isNotNull()
 
     def speed_ok(self) -> Column:
         """Needs ``distance_km`` and ``avg_speed_kmh``."""

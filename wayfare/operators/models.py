@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from wayfare import schema as S
 
 SEED = 42
+#: Partitions in which k-means sees its points; part of what a seed means. Raise it with the number of positions.
+CLUSTER_PARTITIONS = 32
 
 # What any variant may read; keeps training and scoring scans narrow.
 MODEL_COLUMNS = [
@@ -73,13 +75,6 @@ def model_frame(clean: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, key: str = "id") -> DataFrame:
-    """A small input with fewer partitions than the cluster has cores is hashed over
-    all of them before the compute-bound fits; a large one is left where it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def indexer(columns: dict[str, str]) -> StringIndexer:
     """Most frequent value first; unseen values and NULL share one extra index.
     All columns are counted in the same pass."""
@@ -145,25 +140,28 @@ def regression(variant: Variant) -> LinearRegression:
     )
 
 
-def position_points(df: DataFrame) -> DataFrame:
+def position_points(df: DataFrame, partitions: int = CLUSTER_PARTITIONS) -> DataFrame:
     """Distinct pickup positions with their number of trips.
 
     k-means minimises the same sum over weighted distinct points as over single
     trips. The counts are combined in the map tasks, so a position that holds a
-    large share of all trips is one row per task. The grouping leaves the points
-    hashed by position; sorted within that, their order, which seeded
-    initialisation depends on, is the same on every run.
+    large share of all trips is one row per task. Seeded initialisation depends on
+    which points lie in which partition, and in what order: the points are hashed by
+    position into a stated number of partitions and sorted there, so the clusters
+    depend neither on the session's shuffle settings nor on the layout of the input.
+    Another ``partitions`` can give other clusters.
     """
     lon, lat = S.POSITION_2
-    return (
-        df.groupBy(lon, lat).agg(F.count("*").cast("double").alias("trips")).sortWithinPartitions(lon, lat)
-    )
+    counted = df.groupBy(lon, lat).agg(F.count("*").cast("double").alias("trips"))
+    return counted.repartition(partitions, lon, lat).sortWithinPartitions(lon, lat)
 
 
-def fit_clusters(df: DataFrame, k: int = 10, seed: int = SEED) -> list[Transformer]:
+def fit_clusters(
+    df: DataFrame, k: int = 10, seed: int = SEED, partitions: int = CLUSTER_PARTITIONS
+) -> list[Transformer]:
     """Fitted stages: position vector, then its nearest of ``k`` centres as ``pickup_cluster``."""
     vector = assembler(S.POSITION_2, "pickup_position")
-    points = vector.transform(position_points(df)).select("pickup_position", "trips")
+    points = vector.transform(position_points(df, partitions)).select("pickup_position", "trips")
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(
@@ -195,14 +193,18 @@ def cluster_centres(stages: list[Transformer]) -> list[list[float]]:
     return [list(map(float, c)) for c in model.clusterCenters()]
 
 
-def fit_variants(train: DataFrame, variants: list[Variant], clusters_k: int = 10) -> dict[str, PipelineModel]:
-    """Fit every variant on one persisted training frame.
+def fit_variants(
+    train: DataFrame, variants: list[Variant], clusters_k: int = 10, partitions: int | None = None
+) -> dict[str, PipelineModel]:
+    """Fit every variant on one persisted training frame, dealt into ``partitions`` if given.
 
     The index stage is the same for all variants, so it is fitted once. A
     clustered variant gets position stages that turn a raw pickup position into
     ``pickup_cluster`` in front, so its model scores raw requests.
     """
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    if partitions:
+        train = train.repartition(partitions, "id")
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         head: list[Transformer] = fit_clusters(train, clusters_k) if any(v.clustered for v in variants) else []
         indexed = PipelineModel(stages=head).transform(train) if head else train

@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare import schema as S
 from wayfare.functions import calendar, trip
 from wayfare.functions.hashing import hash_uniform
 
@@ -37,20 +38,26 @@ def noise_factor(key: str = "id", scale: float = 0.05, salt: str = "") -> Column
     return F.lit(1.0) + (hash_uniform(key, block=2, salt=salt) * F.lit(2.0) - F.lit(1.0)) * F.lit(float(scale))
 
 
+# The rule scorers' numbers, in seconds and as factors.
+FACTOR_BASE, FACTOR_PER_KM, FACTOR_PEAK, FACTOR_OFF_PEAK = 200.0, 40.0, 1.4, 0.8
+FACTOR_PER_SEAT, FACTOR_VENDOR_2, FACTOR_STORED = 0.03, 1.02, 1.08
+ADDITIVE_BASE, ADDITIVE_PER_KM, ADDITIVE_PEAK, ADDITIVE_AIRPORT = 300.0, 60.0, 180.0, 600.0
+
+
 def factor_seconds(hours: Iterable[int] = calendar.FACTOR_PEAK_HOURS) -> Column:
     """Distance line scaled by peak, passenger, vendor and flag factors."""
-    peak = F.when(F.col("pickup_hour").isin(*hours), F.lit(1.4)).otherwise(F.lit(0.8))
-    seats = F.lit(1.0) + (F.col("passenger_count") - 1) * F.lit(0.03)
-    vendor = F.when(F.col("vendor_id") == 2, F.lit(1.02)).otherwise(F.lit(1.0))
-    stored = F.when(F.col("store_and_fwd_flag") == "Y", F.lit(1.08)).otherwise(F.lit(1.0))
-    return (F.lit(200.0) + F.col("distance_km") * F.lit(40.0)) * peak * seats * vendor * stored
+    peak = F.when(F.col("pickup_hour").isin(*hours), F.lit(FACTOR_PEAK)).otherwise(F.lit(FACTOR_OFF_PEAK))
+    seats = F.lit(1.0) + (F.col("passenger_count") - 1) * F.lit(FACTOR_PER_SEAT)
+    vendor = F.when(F.col("vendor_id") == 2, F.lit(FACTOR_VENDOR_2)).otherwise(F.lit(1.0))
+    stored = F.when(F.col("store_and_fwd_flag") == "Y", F.lit(FACTOR_STORED)).otherwise(F.lit(1.0))
+    return (F.lit(FACTOR_BASE) + F.col("distance_km") * F.lit(FACTOR_PER_KM)) * peak * seats * vendor * stored
 
 
 def additive_seconds() -> Column:
     """Distance line plus fixed peak and airport seconds."""
-    peak = F.when(F.col("is_peak") == 1, F.lit(180.0)).otherwise(F.lit(0.0))
-    airport = F.when(F.col("airport_trip") == 1, F.lit(600.0)).otherwise(F.lit(0.0))
-    return F.lit(300.0) + F.col("distance_km") * F.lit(60.0) + peak + airport
+    peak = F.when(F.col("is_peak") == 1, F.lit(ADDITIVE_PEAK)).otherwise(F.lit(0.0))
+    airport = F.when(F.col("airport_trip") == 1, F.lit(ADDITIVE_AIRPORT)).otherwise(F.lit(0.0))
+    return F.lit(ADDITIVE_BASE) + F.col("distance_km") * F.lit(ADDITIVE_PER_KM) + peak + airport
 
 
 def add_outputs(df: DataFrame) -> DataFrame:
@@ -110,13 +117,14 @@ def prediction_interval(scored: DataFrame, rmse_log: float, z: float = 1.96) ->
     )
 
 
-def score_report(scored: DataFrame, mode: str = "Demo Mode", key: str = "id") -> DataFrame:
-    """Ten (metric, value) text rows per scored trip."""
-    # Metric names and texts of the report.
+def score_report(scored: DataFrame, key: str = "id") -> DataFrame:
+    """Ten (metric, value) text rows per scored trip; ``scorer`` says what made the score."""
+    mode = F.when(F.col("scorer") == "model", "Live Model").otherwise("Demo Mode")
+    # Metric names of the report.
     cells = [
-        ("Processing Mode", F.lit(mode)),
-        ("Input Features", F.lit("8 raw features")),
-        ("Generated Features", F.lit("15+ engineered features")),
+        ("Processing Mode", mode),
+        ("Input Features", F.lit(f"{len(S.REQUEST_COLUMNS)} columns")),
+        ("Generated Features", F.lit(f"{len(S.SERVING_COLUMNS)} columns")),
         ("Log Prediction", trip.fixed_text("log_prediction", 4)),
         ("Duration (seconds)", trip.fixed_text("duration_seconds", 0)),
         ("Duration (minutes)", trip.fixed_text("duration_minutes", 1)),

@@ -11,21 +11,16 @@ TRAIN_PERCENT = 70
 
 
 def in_training(key: str = "id", percent: int = TRAIN_PERCENT) -> Column:
-    return hash_bucket(key, 100) < percent
+    """A NULL key counts as an empty one, so every row is on one side."""
+    return hash_bucket(F.coalesce(key, F.lit("")), 100) < percent
 
 
 def fold_of(key: str = "id", folds: int = 3) -> Column:
     """Fold number from other bits than the split uses."""
-    return hash_bucket(key, folds, block=1)
+    return hash_bucket(F.coalesce(key, F.lit("")), folds, block=1)
 
 
 def hash_split(df: DataFrame, key: str = "id", percent: int = TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by the key's hash: the same rows however the data is partitioned."""
     chosen = in_training(key, percent)
     return df.filter(chosen), df.filter(~chosen)
-
-
-def random_split(df: DataFrame, train_weight: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Spark's own split; its rows depend on the partitioning and column order."""
-    train, test = df.randomSplit([train_weight, 1 - train_weight], seed=seed)
-    return train, test

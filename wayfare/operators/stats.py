@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.functions import geo, trip
 from wayfare.operators.profile import QUANTILE_ACCURACY, QUARTILES
@@ -78,47 +79,39 @@ def group_profile(df: DataFrame, by: str, value: str, accuracy: int = QUANTILE_A
     )
 
 
-def value_counts(df: DataFrame, by: str, value: str) -> DataFrame:
-    return df.groupBy(by, value).agg(F.count("*").alias("n"))
-
-
-def _with_rank(counts: DataFrame, by: str, value: str) -> DataFrame:
-    running = Window.partitionBy(by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(by)
-    return counts.select(
-        by, value, "n", F.sum("n").over(running).alias("upto"), F.sum("n").over(whole).alias("total")
-    )
-
-
-def _quantile(value: str, p: float):
-    # The smallest value whose cumulative share reaches p.
-    return F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(p)), F.col(value)))
+def _exact_quartiles(df: DataFrame, value: str) -> list[Column]:
+    """The smallest values whose cumulative share reaches a quarter, half and three quarters; NULLs do not count."""
+    kind = df.schema[value].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{value} is {kind.simpleString()}: exact quartiles are for integers, use group_profile")
+    return [
+        F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{value}`)").cast(kind).alias(name)
+        for p, name in zip(QUARTILES, ("q1", "median", "q3"), strict=True)
+    ]
 
 
 def exact_group_profile(df: DataFrame, by: str, value: str) -> DataFrame:
     """As ``group_profile`` with exact quartiles, for an integer ``value`` of bounded range.
 
-    Rows are reduced to one count per (group, value) in the map tasks; only
-    those counts are shuffled and ranked. A group then holds at most as many
-    rows as the range has values (7,141 for cleaned durations), however many
-    trips it stands for, so a hot group costs no more than another. Mean and
-    spread come from integer sums and do not depend on the partitioning.
+    A group's state is one count per value, merged from the map tasks: at most as many
+    as the range has values (7,141 for cleaned durations), however many trips it
+    stands for. Mean and spread come from integer sums and do not depend on the
+    partitioning. NULL values count as rows and enter nothing else.
     """
-    x, n = F.col(value), F.col("n")
-    ranked = _with_rank(value_counts(df, by, value), by, value)
-    wide = x.cast("decimal(19,0)")
-    sums = ranked.groupBy(by).agg(
-        F.sum("n").alias("count"),
+    wide = F.col(value).cast("decimal(19,0)")
+    sums = df.groupBy(by).agg(
+        F.count("*").alias("count"),
+        F.count(value).alias("n"),
         F.min(value).alias("min"),
-        *[_quantile(value, p).alias(name) for p, name in zip(QUARTILES, ("q1", "median", "q3"), strict=True)],
+        *_exact_quartiles(df, value),
         F.max(value).alias("max"),
-        F.sum(wide * n).alias("s1"),
-        F.sum(wide * wide * n).alias("s2"),
+        F.sum(wide).alias("s1"),
+        F.sum(wide * wide).alias("s2"),
     )
-    count = F.col("count").cast("decimal(19,0)")
+    n = F.col("n").cast("decimal(19,0)")
     # n * sum of squares - square of the sum, exact before the one division.
-    spread = (count * F.col("s2") - F.col("s1") * F.col("s1")).cast("double")
-    k = F.col("count").cast("double")
+    spread = (n * F.col("s2") - F.col("s1") * F.col("s1")).cast("double")
+    k = F.col("n").cast("double")
     return sums.select(
         by,
         "count",
@@ -127,20 +120,15 @@ def exact_group_profile(df: DataFrame, by: str, value: str) -> DataFrame:
         "median",
         "q3",
         "max",
-        (F.col("s1").cast("double") / k).alias("mean"),
-        F.when(F.col("count") > 1, F.sqrt(spread / (k * (k - 1)))).alias("stddev"),
+        F.when(F.col("n") > 0, F.col("s1").cast("double") / k).alias("mean"),
+        F.when(F.col("n") > 1, F.sqrt(spread / (k * (k - 1)))).alias("stddev"),
         (F.col("q3") - F.col("q1")).alias("iqr"),
     ).orderBy(by)
 
 
 def exact_group_quartiles(df: DataFrame, by: str, value: str) -> DataFrame:
     """Box-plot data: exact q1, median, q3 per group (see ``exact_group_profile``)."""
-    ranked = _with_rank(value_counts(df, by, value), by, value)
-    return (
-        ranked.groupBy(by)
-        .agg(*[_quantile(value, p).alias(name) for p, name in zip(QUARTILES, ("q1", "median", "q3"), strict=True)])
-        .orderBy(by)
-    )
+    return df.groupBy(by).agg(*_exact_quartiles(df, value)).orderBy(by)
 
 
 def _pair_corrs(df: DataFrame, columns: list[str]) -> DataFrame:

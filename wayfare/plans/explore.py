@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from wayfare import schema as S
 from wayfare.operators import clean, profile, stats
 from wayfare.sources import sinks
+from wayfare.sources.trips import CORRUPT, malformed, parse_trips_csv, well_formed
 
 GRID_DEGREES = 0.01
-# Tables with as many rows as there are occupied cells; the others are small by nature.
-GRID_REPORTS = ("positions", "positions_zoomed", "distance_duration")
+PARSED_SCHEMA = T.StructType([*S.TRIP_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def raw_reports(trips: DataFrame, rules: clean.CleanRules = clean.CleanRules()) -> dict[str, DataFrame]:
@@ -41,9 +42,7 @@ def clean_reports(cleaned: DataFrame) -> dict[str, DataFrame]:
         "log_duration_summary": profile.value_summary(cleaned, "log_duration"),
         "log_duration_histogram": stats.histogram_range(cleaned, "log_duration", 100),
         "correlation": stats.correlation_matrix(cleaned, S.CORRELATION_COLUMNS),
-        "strong_pairs": stats.strong_pairs(stats.correlation_pairs(cleaned, S.CORRELATION_COLUMNS)),
         "hour_profile": stats.exact_group_profile(cleaned, "pickup_hour", "trip_duration"),
-        "hour_quartiles": stats.exact_group_quartiles(cleaned, "pickup_hour", "trip_duration"),
         "distance_duration": stats.density_grid(
             cleaned, "distance_km", "trip_duration", 1.0, 60.0, y_range=(0, 7200)
         ),
@@ -57,17 +56,26 @@ def explore(
     clean_path: str,
     report_path: str | None = None,
     rules: clean.CleanRules = clean.CleanRules(),
+    rebalance: bool = True,
 ) -> dict[str, DataFrame]:
     """Write the cleaned table once and report from it.
 
-    The written table is the cut in the lineage: later reports and training read
-    only the columns they need from it and survive the loss of any executor.
+    ``trips`` is read once for every raw report, each time only the columns it needs: give it as a
+    table (``ingest_csv`` makes one), not as text. The written table is the cut in the lineage:
+    later reports and training survive the loss of any executor. The strong pairs come from the written
+    correlation matrix, the quartiles from the hour profile.
     """
     reports = raw_reports(trips, rules)
-    sinks.write_clean(clean.clean_trips(trips, rules), clean_path)
+    sinks.write_clean(clean.clean_trips(trips, rules), clean_path, rebalance=rebalance)
     reports |= clean_reports(sinks.read_clean(spark, clean_path))
     if report_path:
         for name, table in reports.items():
-            export = sinks.export_csv if name in GRID_REPORTS else sinks.export_report_csv
-            export(table, f"{report_path}/{name}")
+            sinks.export_csv(table, f"{report_path}/{name}")
     return reports
+
+
+def ingest_csv(spark: SparkSession, path: str, table_path: str) -> tuple[DataFrame, DataFrame]:
+    """Parse a trips CSV once, into Parquet: its well-formed rows and the lines that do not parse."""
+    parse_trips_csv(spark, path).write.mode("overwrite").parquet(table_path)
+    parsed = spark.read.schema(PARSED_SCHEMA).parquet(table_path)
+    return well_formed(parsed), malformed(parsed)

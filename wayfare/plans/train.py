@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
@@ -44,18 +45,24 @@ class Comparison:
 
 
 def compare(clean: DataFrame, **search) -> Comparison:
-    """Baseline, +Interaction and the tuned model on one split."""
+    """Baseline, +Interaction and the tuned model on one split; the training rows are read once and held for all fits."""
     train, test = hash_split(M.model_frame(clean))
-    # Each step holds what it needs in memory for as long as it runs.
-    fitted = M.fit_variants(train, [M.BASELINE, M.INTERACTION])
-    tuned = tune_optimized(train, **search)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = M.fit_variants(train, [M.BASELINE, M.INTERACTION])
+        tuned = tune_optimized(train, **search)
+    finally:
+        train.unpersist()
     fitted[M.OPTIMIZED.name] = tuned.model
     return Comparison(fitted, M.predict_variants(test, fitted, COMPARED), tuned)
 
 
-def train_and_save(clean: DataFrame, model_path: str, **search) -> tuple[str, DataFrame]:
-    """Compare the variants and save the best one; its name and the metrics table."""
+def train_and_save(clean: DataFrame, model_path: str, **search) -> tuple[str, DataFrame, Comparison]:
+    """Compare the variants and save the best one; its name, the metrics (computed once, a row for each model) and
+    what was compared."""
     comparison = compare(clean, **search)
-    name, model = comparison.best()
-    save_model(model, model_path)
-    return name, comparison.table()
+    rows = comparison.table()
+    table = clean.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    name = metrics.best_model(table).first()["model"]
+    save_model(comparison.models[name], model_path)
+    return name, table, comparison

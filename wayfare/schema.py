@@ -55,6 +55,8 @@ TRIP_COLUMNS = TRIP_SCHEMA.fieldNames()
 REQUEST_COLUMNS = REQUEST_SCHEMA.fieldNames()
 DERIVED_COLUMNS = [f.name for f in DERIVED_FIELDS]
 CLEAN_COLUMNS = CLEAN_SCHEMA.fieldNames()
+# What a request gets before it is scored: all but what needs the duration.
+SERVING_COLUMNS = [c for c in DERIVED_COLUMNS if c not in ("log_duration", "avg_speed_kmh")]
 
 LABEL = "log_duration"
 
@@ -88,7 +90,7 @@ CORRELATION_COLUMNS = [
     "log_duration",
 ]
 
-# Model feature sets. ``vendor_idx`` and ``cluster_idx`` are made by indexing stages.
+# Model feature sets. ``vendor_idx`` and ``cluster_idx`` are made by indexing stages.
 BASE_7 = (
     "distance_km",
     "pickup_hour",
@@ -98,7 +100,17 @@ BASE_7 = (
     "store_and_fwd_flag_num",
     "vendor_idx",
 )
-BASE_9 = BASE_7[:6] + ("pickup_weekday", "pickup_month", "vendor_idx")
+BASE_9 = (
+    "distance_km",
+    "pickup_hour",
+    "passenger_count",
+    "is_peak",
+    "airport_trip",
+    "store_and_fwd_flag_num",
+    "pickup_weekday",
+    "pickup_month",
+    "vendor_idx",
+)
 INTERACTION_10 = BASE_9 + ("distance_peak",)
 CLUSTER_10 = BASE_9 + ("cluster_idx",)
 POSITION_2 = ("pickup_longitude", "pickup_latitude")

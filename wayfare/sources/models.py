@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -12,8 +12,11 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """The saved model, or None when there is none to read."""
+    """The saved model, or None when there is nothing at the path; a damaged model is an error."""
     try:
-        return PipelineModel.load(path)
-    except (Py4JError, PySparkException, OSError, ValueError):
-        return None
+        SparkSession.active().read.text(f"{path}/metadata")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return PipelineModel.load(path)

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.schema import CLEAN_COLUMNS, CLEAN_SCHEMA
-from wayfare.sources.trips import CSV_OPTIONS
-
-REPORT_ROW_BOUND = 100_000
+from wayfare.sources.trips import CSV_OPTIONS, by_name
 
 
 def write_clean(
@@ -15,7 +13,6 @@ def write_clean(
     path: str,
     partition_by: str | None = "pickup_month",
     rebalance: bool = True,
-    max_records_per_file: int = 0,
 ) -> None:
     """Write the cleaned table as Parquet, one directory per month.
 
@@ -28,8 +25,6 @@ def write_clean(
     if partition_by and rebalance:
         clean = clean.hint("rebalance", partition_by)
     writer = clean.write.mode("overwrite")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
@@ -46,15 +41,6 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CLEAN_SCHEMA).options(**CSV_OPTIONS).csv(path)
-
-
-def export_report_csv(df: DataFrame, path: str, max_rows: int = REPORT_ROW_BOUND) -> None:
-    """One CSV file for a report table; refuses a table larger than ``max_rows``."""
-    report = df.limit(max_rows + 1).persist()
-    try:
-        if report.count() > max_rows:
-            raise ValueError(f"report has more than {max_rows} rows; use export_csv")
-        report.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
-    finally:
-        report.unpersist()
+    """The exported cleaned table; columns are found by their header. A cell that does not parse is an error."""
+    read = spark.read.schema(by_name(spark, path, CLEAN_SCHEMA)).options(**CSV_OPTIONS, mode="FAILFAST")
+    return read.csv(path).select(*CLEAN_COLUMNS)

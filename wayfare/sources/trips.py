@@ -13,18 +13,54 @@ from wayfare.schema import EVENT_SCHEMA, REQUEST_COLUMNS, REQUEST_SCHEMA, TRIP_C
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 
 
+#: Holds the line of a row with a cell that does not parse.
+CORRUPT = "_corrupt_record"
+
+
+def by_name(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """The schema in the order of the file's header; columns it does not declare are text."""
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    missing = [f.name for f in schema if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    declared = {f.name: f for f in schema}
+    return T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
+
+
+def parse_trips_csv(spark: SparkSession, path: str, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
+    """All rows of a CSV with a header, columns by name, with the line of a malformed row in ``_corrupt_record``.
+
+    Whether a row is malformed shows only when all its columns are read: write the result, then use
+    ``well_formed`` and ``malformed`` on what was written.
+    """
+    found = by_name(spark, path, schema).add(CORRUPT, T.StringType())
+    read = spark.read.schema(found).options(**CSV_OPTIONS, columnNameOfCorruptRecord=CORRUPT)
+    return read.csv(path).select(*schema.fieldNames(), CORRUPT)
+
+
+def well_formed(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def malformed(parsed: DataFrame) -> DataFrame:
+    """The lines that do not parse, as they stand in the file."""
+    return parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+
+
 def read_trips_csv(
     spark: SparkSession, path: str, schema: T.StructType = TRIP_SCHEMA, infer: bool = False
 ) -> DataFrame:
-    """CSV with a header. ``infer=True`` finds the types in one more pass over the
-    file and then reads timestamps as wall-clock time, whatever the session zone."""
-    if infer:
-        found = spark.read.options(**CSV_OPTIONS).option("inferSchema", True).csv(path).schema
-        clock = T.TimestampNTZType()
-        schema = T.StructType(
-            [T.StructField(f.name, clock if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in found]
-        )
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """CSV with a header, columns by name; a cell that does not parse is an error (see ``parse_trips_csv``).
+
+    ``infer=True`` finds the types in one more pass over the file and then reads
+    timestamps as wall-clock time, whatever the session zone."""
+    if not infer:
+        read = spark.read.schema(by_name(spark, path, schema)).options(**CSV_OPTIONS, mode="FAILFAST")
+        return read.csv(path).select(*schema.fieldNames())
+    found = spark.read.options(**CSV_OPTIONS).option("inferSchema", True).csv(path).schema
+    clock = T.TimestampNTZType()
+    types = [T.StructField(f.name, clock if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(types)).options(**CSV_OPTIONS).csv(path)
 
 
 def read_trips_parquet(spark: SparkSession, path: str) -> DataFrame:
