@@ -15,8 +15,8 @@ def _rows_and_hash(edges: DataFrame) -> tuple[int, int | None]:
 def _round(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is tied to the node's smallest neighbour; then every neighbour below it is."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    low = both.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("low")).select("b", F.least("b", "low").alias("low"))
+    large = edges.join(low, "b").select("a", F.col("low").alias("b"))
     low = large.groupBy("a").agg(F.min("b").alias("low"))
     small = large.join(low, "a")
     return small.selectExpr("a", "low AS b").union(small.filter("b <> low").selectExpr("b AS a", "low AS b")).distinct()

@@ -198,10 +198,13 @@ def confirmed_links(sets: DataFrame) -> DataFrame:
     large = placed.filter("tiles > 1").withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
     first_with_all = F.when(F.col("tile") == 0, F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("tile"))
     dealt = large.withColumn("with", F.explode(first_with_all))
-    links = links.union(_confirm(dealt, ["part", "with"]))
+    if large.isEmpty():
+        return links
+    tiled = _confirm(dealt, ["part", "with"])
+    links = links.union(tiled)
     # nodes of large parts outside the largest linked set of their part, against all of the part
     linked = large.select("part", "node", F.octet_length("elements").alias("bytes"))
-    linked = linked.join(components(links).withColumnRenamed("id", "node"), "node", "left")
+    linked = linked.join(components(tiled).withColumnRenamed("id", "node"), "node", "left")
     linked = linked.withColumn("component", F.coalesce("component", "node"))
     sums = linked.groupBy("part", "component").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
     best = sums.groupBy("part").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("bytes").alias("all"))
