@@ -12,7 +12,6 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
