@@ -17,8 +17,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = make_session()
+def spark(tmp_path_factory):
+    # pytest owns the scratch folders of a test run and removes old ones
+    session = make_session(**{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch"))})
     yield session
     session.stop()
 
