@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -36,6 +39,46 @@ def test_near_documents_in_many_tiles(docs, texts, monkeypatch):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
+def _short_sets(n, rare=20):
+    """Sets of 26 shingles of 40 that most share, and some of their own."""
+    random = np.random.default_rng(11)
+    return [np.unique(np.r_[random.choice(40, rare, False), 1000 + random.integers(0, 3 * n, 26 - rare)]).astype(np.uint64) for _ in range(n)]
+
+
+def test_tile_of_many_short_documents_is_counted_in_strips():
+    sets = _short_sets(12_000)
+    tile = pa.table({"node": pa.array(range(len(sets)), pa.int64()), "elements": pa.array([x.tobytes() for x in sets], pa.binary())})
+    tracemalloc.start()
+    try:
+        minhash._linked(tile)
+        assert tracemalloc.get_traced_memory()[1] < 300e6  # all pairs at once: 576 MB, and 1152 MB in between
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("strip", [1, 700, 1 << 22])
+@pytest.mark.parametrize("rare", [3, 20])
+def test_shared_counts_of_strips(strip, rare, monkeypatch):
+    monkeypatch.setattr(minhash, "STRIP", strip)
+    sets = _short_sets(150, rare)
+    strips = list(minhash._shared_counts(np.concatenate(sets), np.array([len(x) for x in sets])))
+    assert max(c.size for _, c in strips) <= max(strip, len(sets))
+    got = np.vstack([c for _, c in strips])
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    assert np.array_equal(np.triu(got, 1), np.triu(want, 1))
+
+
+def test_tiles_are_bounded_by_documents(spark, monkeypatch):
+    sets = _short_sets(300)
+    rows = [(k, k % 3 if k < 150 else 9, 15_000 if k >= 150 else 5_000, x.tobytes()) for k, x in enumerate(sets)]
+    monkeypatch.setattr(minhash, "TILE", 5_000)
+    tiles = []
+    confirm = minhash._confirm
+    monkeypatch.setattr(minhash, "_confirm", lambda s, keys: tiles.append(s.groupBy(*keys).count().agg({"count": "max"}).first()[0]) or confirm(s, keys))
+    minhash.confirmed_links(spark.createDataFrame(rows, "node long, part long, size long, elements binary"))
+    assert len(tiles) == 3 and max(tiles) <= 2 * 2 * 5_000 // minhash.LEAST
+
+
 def test_one_of_each_keeps_columns(docs, texts):
     kept = one_of_each(docs.union(docs))
     assert kept.columns == docs.columns

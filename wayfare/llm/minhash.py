@@ -8,7 +8,7 @@ slice. ``BANDS`` bands of ``ROWS`` coordinates: a pair with similarity 0.75 shar
 
 Documents with equal sets are one node. Nodes that share a band are candidates; their connected
 components are the only places where links can be. In these, links are confirmed on the full sets, in tiles of bounded
-size, each of which returns a spanning forest, never its pairs. A component that fits into one tile is compared
+numbers of shingles and documents, counted a strip of pairs at a time, each of which returns a spanning forest, never its pairs. A component that fits into one tile is compared
 whole. A larger one is first compared tile by tile, each along with the same first tile; then only nodes outside the
 largest linked part are compared with all others. So many near copies of one text cost one pass, and no link is lost.
 
@@ -35,6 +35,10 @@ SHINGLE, BANDS, ROWS = 5, 24, 3
 CIRCLE, SEED = 1 << 21, 7
 #: Shingles in one tile, and documents of a shingle from which its pairs are counted by a matrix product.
 TILE, COMMON = 400_000, 64
+#: A document takes up the room of so many shingles at least, so a tile has a bounded number of documents too.
+LEAST = 100
+#: Pairs of documents that are counted at once.
+STRIP = 1 << 22
 THRESHOLD = 75
 
 _CIRCLE: list[np.ndarray] = []
@@ -129,36 +133,47 @@ def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["node", "part", "size", "elements"]).filter(pa.array(same))
 
 
-def _shared_counts(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of all sets of a tile (above the diagonal)."""
+def _shared_counts(elements: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Sizes of the intersections of all sets of a tile (right above the diagonal), in strips of few sets against all."""
     n = len(sizes)
     _, column, df = np.unique(elements, return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(n), sizes)
     order = np.argsort(column, kind="stable")
     order = order[df[column[order]] > 1]
-    row, column = row[order], column[order]
-    many = df[column]
-    counts = np.zeros(n * n, np.float32)
-    for f in np.unique(many[many <= COMMON]):
-        groups = row[many == f].reshape(-1, f)
-        a, b = np.triu_indices(f, 1)
-        step = max(1, (1 << 21) // len(a))
-        for k in range(0, len(groups), step):
-            pair = (groups[k : k + step, a] * n + groups[k : k + step, b]).ravel()
-            if len(pair) * 8 < n * n:
+    row, many = row[order], df[column[order]]
+    column = np.cumsum(np.diff(column[order], prepend=-1) > 0) - 1
+    dense = many > max(COMMON, n // 16)  # in a wide tile a product pays for the most frequent shingles only
+    last = np.searchsorted(column, column, side="right")  # the rows of a shingle ascend: its pairs are (place, later place)
+    by_row = np.flatnonzero(~dense)
+    by_row = by_row[np.argsort(row[by_row], kind="stable")]
+    dense_row, (_, dense_column) = row[dense], np.unique(column[dense], return_inverse=True)
+    step = max(1, STRIP // max(1, n))
+    for i in range(0, n, step):
+        height = min(step, n - i)
+        counts = np.zeros(height * n, np.float32)
+        mine = by_row[slice(*np.searchsorted(row[by_row], [i, i + height]))]
+        later = last[mine] - mine - 1
+        ends = np.cumsum(later)
+        k = 0
+        while k < len(mine):
+            j = max(k + 1, int(np.searchsorted(ends, ends[k] - later[k] + STRIP)))
+            some, own = later[k:j], mine[k:j]
+            other = np.arange(int(some.sum())) + np.repeat(own + 1 - (np.cumsum(some) - some), some)
+            pair = np.repeat((row[own] - i) * n, some) + row[other]
+            if len(pair) * 8 < len(counts):
                 key, c = np.unique(pair, return_counts=True)
                 counts[key] += c
             else:
-                counts += np.bincount(pair, minlength=n * n)
-    counts = counts.reshape(n, n)
-    row, column = row[many > COMMON], column[many > COMMON]
-    _, column = np.unique(column, return_inverse=True)
-    for k in range(0, int(column.max(initial=-1)) + 1, 2048):
-        at = (column >= k) & (column < k + 2048)
-        dense = np.zeros((n, 2048), np.float32)
-        dense[row[at], column[at] - k] = 1
-        counts += dense @ dense.T
-    return counts
+                counts += np.bincount(pair, minlength=len(counts))
+            k = j
+        counts = counts.reshape(height, n)
+        wide = max(1, min(2048, STRIP // max(1, n)))
+        for k in range(0, int(dense_column.max(initial=-1)) + 1, wide):
+            at = (dense_column >= k) & (dense_column < k + wide) & (dense_row >= i)
+            block = np.zeros((n - i, wide), np.float32)
+            block[dense_row[at] - i, dense_column[at] - k] = 1
+            counts[:, i:] += block[:height] @ block.T
+        yield i, counts
 
 
 def _linked(tile: pa.Table) -> pa.Table:
@@ -170,12 +185,12 @@ def _linked(tile: pa.Table) -> pa.Table:
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     forest = Forest(len(sets))
     if len(sets) > 1:
-        shared = _shared_counts(np.concatenate(sets), sizes)
-        for i in range(len(sets)):
-            inter = shared[i, i + 1 :]
-            j = np.flatnonzero(100 * inter >= THRESHOLD * (sizes[i] + sizes[i + 1 :] - inter)) + i + 1
-            if len(j):
-                forest.join(np.full(len(j), i), j)
+        for start, counts in _shared_counts(np.concatenate(sets), sizes):
+            for i, row in enumerate(counts, start):
+                inter = row[i + 1 :]
+                j = np.flatnonzero(100 * inter >= THRESHOLD * (sizes[i] + sizes[i + 1 :] - inter)) + i + 1
+                if len(j):
+                    forest.join(np.full(len(j), i), j)
     a, b = forest.edges()
     return pa.table({"a": pa.array(node[a], pa.int64()), "b": pa.array(node[b], pa.int64())})
 
@@ -184,14 +199,19 @@ def _confirm(sets: DataFrame, keys: list[str]) -> DataFrame:
     return saved(sets.select(*keys, "node", "elements").groupBy(*keys).applyInArrow(_linked, "a long, b long"), "confirmed")
 
 
+def _room(shingles: str) -> Column:
+    return F.greatest(F.expr(shingles), F.lit(LEAST))
+
+
 def _tiles(size: str) -> Column:
     return F.ceil(F.col(size) / TILE).cast("int")
 
 
 def confirmed_links(sets: DataFrame) -> DataFrame:
-    """Forest (a, b) of the links among candidates (node, part, size: shingles of the part, elements)."""
-    total = sets.agg(F.sum(F.octet_length("elements"))).first()[0] or 0
-    bins = max(1, -(-total // (8 * TILE)))
+    """Forest (a, b) of the links among candidates (node, part, size: room of the part, elements)."""
+    room = _room("octet_length(elements) DIV 8")
+    total = sets.agg(F.sum(room)).first()[0] or 0
+    bins = max(1, -(-total // TILE))
     placed = sets.withColumn("tiles", _tiles("size"))
     small = placed.filter("tiles <= 1").withColumn("bin", F.pmod(F.xxhash64("part"), F.lit(bins)))
     links = _confirm(small, ["bin"])
@@ -203,15 +223,15 @@ def confirmed_links(sets: DataFrame) -> DataFrame:
     tiled = _confirm(dealt, ["part", "with"])
     links = links.union(tiled)
     # nodes of large parts outside the largest linked set of their part, against all of the part
-    linked = large.select("part", "node", F.octet_length("elements").alias("bytes"))
+    linked = large.select("part", "node", room.alias("room"))
     linked = linked.join(components(tiled).withColumnRenamed("id", "node"), "node", "left")
     linked = linked.withColumn("component", F.coalesce("component", "node"))
-    sums = linked.groupBy("part", "component").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
-    best = sums.groupBy("part").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("bytes").alias("all"))
-    rest = saved(linked.join(best, "part").filter("component <> main").select("part", "node", "bytes"), "outside")
+    sums = linked.groupBy("part", "component").agg(F.count("*").alias("n"))
+    best = sums.groupBy("part").agg(F.max(F.struct("n", "component"))["component"].alias("main"))
+    rest = saved(linked.join(best, "part").filter("component <> main").select("part", "node", "room"), "outside")
     if rest.isEmpty():
         return links
-    outside = rest.groupBy("part").agg(F.ceil(F.sum("bytes") / (8 * TILE)).cast("int").alias("outer_tiles"))
+    outside = rest.groupBy("part").agg(F.ceil(F.sum("room") / TILE).cast("int").alias("outer_tiles"))
     all_rows = large.join(outside, "part").join(rest.select("node", F.lit(True).alias("out")), "node", "left")
     outer = F.pmod(F.xxhash64("node", F.lit(2)), F.col("outer_tiles")).cast("int")
     pairs = F.flatten(
@@ -238,7 +258,7 @@ def near_documents(docs: DataFrame) -> DataFrame:
     parts = components(candidates.distinct()).select(F.col("id").alias("node"), F.col("component").alias("part"))
     nodes = there.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")).join(parts, "node")
     nodes = saved(nodes, "nodes")
-    nodes = nodes.join(nodes.groupBy("part").agg(F.sum("n").alias("size")), "part").select("doc_id", "node", "part", "size")
+    nodes = nodes.join(nodes.groupBy("part").agg(F.sum(_room("n")).alias("size")), "part").select("doc_id", "node", "part", "size")
     texts = docs.join(nodes.hint("merge"), "doc_id").select("node", "part", "size", "text")
     sets = saved(texts.mapInArrow(_filled, "node long, part long, size long, elements binary"), "sets")
     linked = components(confirmed_links(sets)).withColumnRenamed("id", "node")
