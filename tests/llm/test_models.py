@@ -29,6 +29,19 @@ def test_ppm_equals_a_dictionary_trie(spark, docs, texts):
     assert ppm.score_documents(docs.limit(0)).count() == 0
 
 
+def test_classes_are_fitted_on_all_training_documents(spark):
+    """6,000 texts, more than were sampled before: each centre is of all of them, however rows are dealt."""
+    random = np.random.default_rng(4)
+    texts = ["".join(random.choice(list("abcdefgh "), 60)) for _ in range(6000)]
+    texts[::900] = ["".join(random.choice(list("日本語の文字"), 20)) for _ in texts[::900]]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = ppm.fitted_centres(table.repartition(5))
+    shares = ppm.histograms(*common.buffers(pa.array(texts))).astype(np.float32).astype(np.float64)
+    assert np.array_equal(got, ppm.class_centres(shares))
+    assert np.array_equal(got, ppm.fitted_centres(table.repartition(2)))
+    assert (got[:, 0xE6] > 0).any()  # a byte of seven texts only counts in some centre
+
+
 def test_base_score(docs, texts):
     tokens = [[*brute.words(t, lower=True), None] for _, t in texts]
     train = [zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2 for d, _ in texts]

@@ -67,15 +67,6 @@ def held_out(modulus: int, remainder: int, doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
-def smallest(df: DataFrame, rank: str, n: int) -> DataFrame:
-    """The rows with the n smallest values of ``rank``, a hash. Rows that cannot be among them go first, by the share of
-    the range of hashes that n rows take up, with room; so a task has few rows to order."""
-    share = 1.2 * (n + 100) / max(1, df.count())
-    if share < 1:
-        df = df.filter(F.col(rank) < F.lit(int(-(2**63) + share * 2**64)))
-    return df.orderBy(rank).limit(n)
-
-
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts in a row, and where each starts (one more at the end). A null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
