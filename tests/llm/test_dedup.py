@@ -144,6 +144,16 @@ def test_near_vectors(spark, vectors):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
 
 
+def test_near_vectors_of_doubles(spark):
+    """Pairs on either side of 0.95 by less than a float tells apart, and components beyond the range of floats."""
+    at = lambda c, k: [0.0] * (2 * k) + [c, float(np.sqrt(1 - c * c))] + [0.0] * (6 - 2 * k)
+    rows = [(0, at(1.0, 0)), (1, at(0.95 + 1e-10, 0)), (2, at(1.0, 1)), (3, at(0.95 - 1e-10, 1))]
+    rows += [(4, [0.0] * 4 + [1e300, 2e300, 0.0, 0.0]), (5, [0.0] * 4 + [1e-300, 2e-300, 0.0, 0.0])]
+    rows += [(6, [0.0] * 6 + [1.0, 0.0]), (7, [0.0] * 6 + [1.0, 1e-12])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).select("vec_id", "n_links", "component_id")
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 1, 6), (7, 1, 6)]
+
+
 def test_empty_tables(spark, no_docs):
     assert near_documents(no_docs).count() == 0
     assert one_of_each(no_docs).count() == 0

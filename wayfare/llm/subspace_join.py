@@ -12,7 +12,7 @@ Equal vectors are first joined into classes, so copies are one row. Large cells
 homes and guests, so that no task holds an unbounded group.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Vectors of different
-dimensions do not link. A repeated row is a vector of its own. Rows without an id keep a null id and
+dimensions do not link. Floats stay floats; components of any other type are taken as doubles. A repeated row is a vector of its own. Rows without an id keep a null id and
 link with nothing.
 """
 
@@ -181,8 +181,9 @@ def near_classes(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataF
         })
 
     common.prepared(spark)
+    kind = classes.schema["embedding"].dataType.simpleString()
     dealt = classes.mapInArrow(
-        deal, "size int, block int, i int, j int, cell int, home boolean, guest boolean, vec_id long, n long, embedding array<float>"
+        deal, f"size int, block int, i int, j int, cell int, home boolean, guest boolean, vec_id long, n long, embedding {kind}"
     )
     found = dealt.groupBy("size", "block", "cell", "i", "j").applyInArrow(join, "vec_id long, n_links long, other long")
     found = saved(found, "found")
@@ -193,10 +194,11 @@ def near_classes(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataF
 def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of (vec_id, embedding)."""
     common.prepared(vectors.sparkSession)
-    rows = vectors.selectExpr("CAST(vec_id AS LONG) AS vec_id", "CAST(embedding AS ARRAY<FLOAT>) AS embedding")
+    kind = "ARRAY<FLOAT>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "ARRAY<DOUBLE>"
+    rows = vectors.selectExpr("CAST(vec_id AS LONG) AS vec_id", f"CAST(embedding AS {kind}) AS embedding")
     usable = (
         "vec_id IS NOT NULL AND embedding IS NOT NULL AND exists(embedding, x -> x <> 0)"
-        " AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < float('infinity'))"
+        " AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
     )
     rows = rows.withColumn("embedding", F.when(F.expr(usable), F.col("embedding")))
     classes = rows.filter("embedding IS NOT NULL").groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"))
