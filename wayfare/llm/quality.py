@@ -167,8 +167,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mac
     common.prepared(docs.sparkSession)
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(5, 0))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    known = known.withColumn("_rank", F.xxhash64(F.col("doc_id").cast("long")))
-    known = common.smallest(known, "_rank", sample).drop("_rank")
+    known = known.withColumn("_rank", F.xxhash64(F.col("doc_id").cast("long"))).orderBy("_rank", "doc_id").limit(sample).drop("_rank")
     rows = _input(docs).join(F.broadcast(known), "doc_id")
     sampled = rows.select("doc_id", "quality", "text", "n_chars").mapInArrow(
         _sampled, "doc_id long, quality int, i array<int>, x array<float>"
