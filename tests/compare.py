@@ -42,6 +42,10 @@ def compare_tables(got: pd.DataFrame, want: pd.DataFrame) -> str:
     """Empty when equal, else what differs."""
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
+    for c in got.columns:
+        # Whole numbers with nulls come as doubles from one side and as masked integers from the other.
+        if {got[c].dtype.name, want[c].dtype.name} == {"float64", "Int64"}:
+            got, want = got.astype({c: "Int64"}), want.astype({c: "Int64"})
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
     a, b = table_rows(got), table_rows(want)
