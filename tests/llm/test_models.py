@@ -123,6 +123,6 @@ def test_pipeline_stages(spark, docs, no_docs, sf_dir):
 def test_queries_with_sql(spark, con, sf_dir):
     from tests.compare import compare_tables
 
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
     for name, sql in ORACLE_SQL.items():
         assert compare_tables(QUERIES[name](spark, sf_dir).toPandas(), con.sql(sql).df()) == ""

@@ -161,12 +161,18 @@ def _mined(vectors: DataFrame, wave: Wave, positives: int, negatives: int, low:
 
 
 def hard_negatives(
-    vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int = 5, low: int = 80, scale: int = 256
+    vectors: DataFrame,
+    anchors: DataFrame,
+    positives: int = 5,
+    negatives: int = 5,
+    low: int = 80,
+    scale: int = 256,
+    wave_bytes: int = WAVE_BYTES,
 ) -> DataFrame:
     """The best ``negatives`` rows of other labels that score from ``low`` percent of a positive's score up to that
     score, for each of the best ``positives`` rows of an anchor's own label.
 
-    ``vectors`` and ``anchors`` have vec_id, embedding and label.
+    ``vectors`` and ``anchors`` have vec_id, embedding and label. The anchors of one wave take ``wave_bytes`` as doubles.
     """
     spark = vectors.sparkSession
     common.prepared(spark)
@@ -179,7 +185,7 @@ def hard_negatives(
     sizes = {r["size"]: r["n"] for r in anchors.groupBy("size").agg(F.count("*").alias("n")).collect()}
     result = spark.createDataFrame([], RESULT)
     for size, n in sorted(sizes.items()):
-        waves = -(-n * max(1, size) * 8 // WAVE_BYTES)
+        waves = -(-n * max(1, size) * 8 // wave_bytes)
         for w in range(waves):
             mine = anchors.filter((F.col("size") == size) & (F.expr(f"pmod(xxhash64(vec_id), {waves})") == w))
             rows = mine.orderBy("vec_id").collect()  # the anchors of one wave

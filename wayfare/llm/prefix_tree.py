@@ -253,17 +253,17 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from Nodes(part).batches(forest)
 
 
-def _joined(parts: int) -> Callable[[pa.Table], pa.Table]:
-    """The forests of a group in one; the last round, over all ``parts`` that are left, completes it."""
+def _joined(fan: int, last: bool) -> Callable[[pa.Table], pa.Table]:
+    """The forests of a group of ``fan`` neighbours in one; the last round completes it."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("part")
         first, forest = table["part"][0].as_py(), None
-        nodes = Nodes(first // FAN)
+        nodes = Nodes(first // fan)
         for raw in table["forest"].to_pylist():
             other = pickle.loads(raw)
             forest = merged(forest, other, nodes) if forest else other
-        if parts <= FAN:
+        if last:
             finished(forest, nodes)
             forest = None
         return pa.Table.from_batches(list(nodes.batches(forest)))
@@ -329,7 +329,7 @@ def with_shared_starts(sequences: DataFrame) -> DataFrame:
     )
 
 
-def prefix_tree(sequences: DataFrame) -> DataFrame:
+def prefix_tree(sequences: DataFrame, fan: int = FAN) -> DataFrame:
     """The nodes of the tree over conv_id and turns (an array of structs with digest and words)."""
     spark = sequences.sparkSession
     common.prepared(spark)
@@ -351,9 +351,10 @@ def prefix_tree(sequences: DataFrame) -> DataFrame:
         parts = forests.agg(F.max("part")).first()[0]
         if parts is None:
             break
-        built = saved(forests.groupBy((F.col("part") / FAN).cast("long").alias("g")).applyInArrow(_joined(parts + 1), NODE), "nodes")
+        group = F.expr(f"part DIV {fan}").alias("g")
+        built = saved(forests.groupBy(group).applyInArrow(_joined(fan, parts < fan), NODE), "nodes")
         nodes = nodes.union(built)
-        if parts < FAN:
+        if parts < fan:
             break
     nodes = nodes.filter("forest IS NULL")
     waiting = nodes.filter("parent_key IS NOT NULL").drop("parent_conv_id")

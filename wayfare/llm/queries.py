@@ -136,7 +136,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 10
 """
 
-#: crc32 of the id's digits, bit by bit; every node is the list of its turns' digests.
+#: crc32 of the id's digits, bit by bit; every node is the list of its turns' digests. The root has no parent: whole numbers
+#: with nulls come as doubles from both sides of the comparison.
 PREFIX_TREE_SQL = r"""
 WITH ids AS (
   SELECT conv_id, xor(list_reduce(
@@ -178,7 +179,7 @@ below AS (
   SELECT kin.node[1:above] AS node, count(*) FILTER (children.n IS NULL) AS n_leaves, sum(saved) AS saved_tokens
   FROM kin LEFT JOIN children ON children.node = kin.node GROUP BY ALL
 )
-SELECT node.conv_id, node.depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(children.n, 0) AS n_children,
+SELECT node.conv_id, node.depth, CAST(parent.conv_id AS DOUBLE) AS parent_conv_id, node.n_convs, coalesce(children.n, 0) AS n_children,
   below.n_leaves, CAST(below.saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
 FROM node
 JOIN below ON below.node = node.node
