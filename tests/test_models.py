@@ -9,7 +9,8 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
-from wayfare.operators import metrics, tuning
+from wayfare.operators import clusters as C
+from wayfare.operators import metrics, moments, tuning
 from wayfare.operators import models as M
 from wayfare.operators.split import fold_of, hash_split
 from wayfare.plans import serve, train
@@ -64,35 +65,52 @@ def test_assembler_refuses_or_skips_nulls(spark):
 
 
 def test_clusters_are_nearest_centres(parts, clusters):
-    centres = np.array(M.cluster_centres(clusters))
-    assert centres.shape == (10, 2)
+    centres = C.fit_centres(parts[0])
+    assert len(centres) == 10
     df = parts[0]
     for stage in clusters:
         df = stage.transform(df)
     pdf = df.select("pickup_longitude", "pickup_latitude", "pickup_cluster").toPandas()
-    points = pdf[["pickup_longitude", "pickup_latitude"]].to_numpy()
-    distance = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2)
-    chosen = distance[np.arange(len(pdf)), pdf["pickup_cluster"]]
-    assert np.allclose(chosen, distance.min(axis=1))
-
-
-def test_position_points_keep_every_trip(parts):
-    # The same position many times over, as a busy stand would give.
-    busy = parts[0].withColumns({"pickup_longitude": F.lit(-73.9), "pickup_latitude": F.lit(40.7)})
-    both = parts[0].unionByName(busy)
-    points = M.position_points(both)
-    assert points.agg(F.sum("trips")).first()[0] == both.count()
-    assert points.count() <= parts[0].count() + 1
-
-
-def test_weighted_clusters_equal_clusters_of_all_trips(spark):
-    """On well-separated groups the weighted fit finds the same centres as single trips."""
+    points = np.floor(pdf[["pickup_longitude", "pickup_latitude"]].to_numpy() * C.UNITS + 0.5) + C.OFFSETS
+    distance = ((points[:, None, :] - np.array(centres, float)[None]) ** 2).sum(axis=2)
+    assert np.array_equal(distance.argmin(axis=1), pdf["pickup_cluster"])
+
+
+def test_rounds_are_lloyds(spark):
+    """Every round against plain arithmetic: seeds by count then cell, whole-number means, empty centres stay."""
+    r = np.random.default_rng(0)
+    rows = [(float(x), float(y)) for x, y in np.round(r.normal([-73.9, 40.7], 0.05, (500, 2)), 6)] + [(None, 40.7), (float("nan"), 1.0), (200.0, 0.0)]
+    df = spark.createDataFrame(rows, "pickup_longitude double, pickup_latitude double").repartition(3)
+    points = np.floor(np.array(rows[:500]) * C.UNITS + 0.5).astype(np.int64) + C.OFFSETS
+    cells, counts = np.unique(points // C.CELL, axis=0, return_counts=True)
+    order = np.lexsort((cells[:, 1], cells[:, 0], -counts))[:4]
+    centres = cells[order] * C.CELL + C.CELL // 2
+    assert C.fit_centres(df, 4, rounds=0) == list(map(tuple, centres))
+    for n in range(1, 6):
+        near = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.array([points[near == i].sum(axis=0) // max(1, (near == i).sum()) if (near == i).any() else centres[i] for i in range(4)])
+        assert C.fit_centres(df, 4, rounds=n) == list(map(tuple, centres))
+    stage = C.cluster_stage(C.fit_centres(df, 4))
+    assert stage.transform(df).filter("pickup_cluster IS NULL").count() == 3
+
+
+def test_clusters_of_few_or_no_positions(spark):
+    df = spark.createDataFrame([(-73.9, 40.7)] * 5, "pickup_longitude double, pickup_latitude double")
+    assert C.degrees(C.fit_centres(df, 10)) == [[-73.9, 40.7]]
+    assert {x.pickup_cluster for x in C.cluster_stage(C.fit_centres(df, 10)).transform(df).collect()} == {0}
+    assert C.fit_centres(df.limit(0)) == []
+    assert {x.pickup_cluster for x in C.cluster_stage([]).transform(df).collect()} == {None}
+    with pytest.raises(ValueError, match="k must"):
+        C.fit_centres(df, 100)
+
+
+def test_clusters_of_separate_groups_are_their_means(spark):
     rows = [(-74.0 + 0.001 * (i % 3), 40.6 + 0.1 * (i % 4), ) for i in range(400)]
     df = spark.createDataFrame(rows, "pickup_longitude double, pickup_latitude double")
-    got = sorted(M.cluster_centres(M.fit_clusters(df, k=4)), key=lambda c: c[1])
+    got = sorted(C.degrees(C.fit_centres(df, k=4)), key=lambda c: c[1])
     pdf = df.toPandas()
     want = pdf.groupby("pickup_latitude")["pickup_longitude"].mean()
-    assert np.allclose([c[1] for c in got], want.index) and np.allclose([c[0] for c in got], want.values)
+    assert np.allclose([c[1] for c in got], want.index, atol=2e-6) and np.allclose([c[0] for c in got], want.values, atol=2e-6)
 
 
 def test_cross_validation_equals_the_built_in_one(parts, clusters, tuned):
@@ -163,11 +181,11 @@ def test_clusters_do_not_depend_on_shuffle_settings(spark, parts):
         for n, adaptive in ((3, "true"), (8, "false"), (200, "true")):
             spark.conf.set("spark.sql.shuffle.partitions", str(n))
             spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-            found.append(np.array(M.cluster_centres(M.fit_clusters(parts[0].repartition(n)))))
+            found.append(C.fit_centres(parts[0].repartition(n)))
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert np.allclose(found[0], found[1], atol=1e-6) and np.allclose(found[0], found[2], atol=1e-6)
+    assert found[0] == found[1] == found[2]
 
 
 def test_one_pass_metrics_equal_the_evaluator(parts):
@@ -191,18 +209,64 @@ def test_train_and_save_keeps_the_best(spark, cleaned):
     assert store.load_model(path) is not None
 
 
-def test_moment_rows_carry_the_sums(parts):
-    fitted = Pipeline(stages=M.vector_stages(M.Variant("wide", S.INTERACTION_10, degree=2))).fit(parts[0])
-    gram = tuning.gram_matrix(fitted.transform(parts[0]), "wide_features")
-    rows = tuning.moment_rows(gram)
-    full = np.column_stack([rows.x, rows.y, np.ones(len(rows.y))])
-    assert full.shape == (67, 67) and gram[-1, -1] == parts[0].count()
-    assert np.allclose(rows.weight * full.T @ full, gram, rtol=1e-9, atol=1e-7 * np.abs(gram).max())
+@pytest.fixture
+def counted(spark):
+    """A frame that counts how many of its rows are read."""
+
+    def wrap(df):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(count, df.schema), seen
+
+    return wrap
+
+
+def test_moments_equal_the_stages_on_all_rows(parts, clusters):
+    """Index, scale and expansion from sums by category, against Spark's stages on the rows themselves."""
+    rows = clusters[0].transform(parts[0])
+    variant = M.Variant("wide", (*S.CLUSTER_10, "distance_peak"), degree=2)
+    fitted = Pipeline(stages=M.vector_stages(variant)).fit(rows)
+    x = np.array([r[0] for r in fitted.transform(rows).select(vector_to_array("wide_features")).collect()])
+    y = np.array([r[0] for r in rows.select(S.LABEL).collect()])
+    sums = M.collect_variants(rows.withColumn("fold", fold_of()), [variant, M.BASELINE], "fold")
+    labels = {f: sums.labels(f) for f in ("vendor_idx", "cluster_idx")}
+    mean, spread = sums.scale(variant.features, labels)
+    gram = sums.gram(variant.features, 2, labels, mean, spread)
+    full = np.column_stack([x, y, np.ones(len(y))])
+    assert full.shape[1] == 79 and sums.rows() == len(y) and sums.folds == [0, 1, 2]
+    assert np.allclose(gram, full.T @ full, rtol=1e-8, atol=1e-8 * np.abs(gram).max())
+    scale = M.fitted_scaler(variant, mean, spread, rows.sparkSession)
+    assert np.allclose(scale.mean, fitted.stages[2].mean) and np.allclose(scale.std, fitted.stages[2].std)
+    reduced = moments.moment_rows(gram)
+    again = np.column_stack([reduced.x, reduced.y, np.ones(len(reduced.y))])
+    assert np.allclose(reduced.weight * again.T @ again, gram, rtol=1e-9, atol=1e-7 * np.abs(gram).max())
+
+
+def test_variants_read_the_training_rows_once(parts, counted):
+    rows, seen = counted(parts[0])
+    fitted = M.fit_variants(rows, train.PLAIN_VARIANTS)
+    assert len(fitted) == 3 and seen.value == parts[0].count()
+
+
+def test_search_reads_the_training_rows_once(parts, counted):
+    rows, seen = counted(parts[0])
+    tuning.cross_validate(rows, M.BASELINE, reg_params=(0.01, 0.1), elastic_nets=(0.0,), folds=3)
+    assert seen.value == parts[0].count()
+
+
+def test_null_features_are_an_error(parts):
+    with pytest.raises(ValueError, match="NULL"):
+        M.fit_variants(parts[0].withColumn("pickup_hour", F.expr("nullif(pickup_hour, 3)")), [M.BASELINE])
 
 
 def test_moment_rows_keep_constant_columns_constant():
     x = np.column_stack([np.zeros(50), np.full(50, 3.0), np.arange(50.0), np.arange(50.0) ** 2, np.ones(50)])
-    rows = tuning.moment_rows(x.T @ x)
+    rows = moments.moment_rows(x.T @ x)
     assert np.all(rows.x[:, 0] == 0.0) and np.all(rows.x[:, 1] == 3.0)
     assert rows.x[:, 2].mean() == pytest.approx(24.5)
 

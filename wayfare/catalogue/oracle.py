@@ -482,14 +482,14 @@ POLY = clean(
 )
 
 
-def metric_columns(label: str = "y", prediction: str = "p") -> str:
+def metric_columns(label: str = "y", prediction: str = "p", places: int = 6) -> str:
     y_sec, p_sec = f"(exp({label}) - 1e0)", f"(exp({prediction}) - 1e0)"
     return (
-        f"count(*) AS rows, {r(f'sqrt(avg(pow({label} - {prediction}, 2)))', 'rmse_log')}, "
-        f"{r(f'sqrt(avg(pow({y_sec} - {p_sec}, 2)))', 'rmse_sec')}, "
-        f"{r(f'sqrt(avg(pow(ln(1e0 + {p_sec}) - ln(1e0 + {y_sec}), 2)))', 'rmsle')}, "
-        f"{r(f'avg(abs({y_sec} - {p_sec}))', 'mae_sec')}, "
-        f"{r(f'1e0 - sum(pow({label} - {prediction}, 2)) / (var_pop({label}) * count(*))', 'r2')}"
+        f"count(*) AS rows, {r(f'sqrt(avg(pow({label} - {prediction}, 2)))', 'rmse_log', places)}, "
+        f"{r(f'sqrt(avg(pow({y_sec} - {p_sec}, 2)))', 'rmse_sec', places)}, "
+        f"{r(f'sqrt(avg(pow(ln(1e0 + {p_sec}) - ln(1e0 + {y_sec}), 2)))', 'rmsle', places)}, "
+        f"{r(f'avg(abs({y_sec} - {p_sec}))', 'mae_sec', places)}, "
+        f"{r(f'1e0 - sum(pow({label} - {prediction}, 2)) / (var_pop({label}) * count(*))', 'r2', places)}"
     )
 
 
@@ -654,6 +654,150 @@ BEST_POINT = clean(
     "SELECT penalty AS reg_param, alpha AS elastic_net FROM net_scores ORDER BY mean_rmse LIMIT 1", GRID_ERRORS
 )
 
+# Whole micro-degrees, counted from the date line and the south pole.
+MICRO_X, MICRO_Y = (
+    f"CAST(floor({c} * 1000000e0 + 5e-1) AS BIGINT) + {o}" for c, o in (("pickup_longitude", 180000000), ("pickup_latitude", 90000000))
+)
+SQUARES = "list_transform(range(1, len(cx) + 1), lambda j: (x - cx[j]) * (x - cx[j]) + (y - cy[j]) * (y - cy[j]))"
+NEAREST = "list_position(d, list_min(d))"
+# Seeds from the fullest cells, then ten rounds of means in whole numbers.
+CENTRES = MODEL_FRAME + f""",
+points AS (SELECT {MICRO_X} AS x, {MICRO_Y} AS y FROM train),
+cells AS (
+  SELECT x // 10000 AS cx, y // 10000 AS cy, count(*) AS n FROM points GROUP BY ALL ORDER BY n DESC, cx, cy LIMIT 10),
+lloyd AS (
+  SELECT 0 AS step, list(cx * 10000 + 5000 ORDER BY n DESC, cx, cy) AS cx, list(cy * 10000 + 5000 ORDER BY n DESC, cx, cy) AS cy
+  FROM cells
+  UNION ALL
+  SELECT step + 1, list_transform(range(1, len(cx) + 1), lambda i: coalesce(m[i][1], cx[i])),
+    list_transform(range(1, len(cy) + 1), lambda i: coalesce(m[i][2], cy[i]))
+  FROM (
+    SELECT step, cx, cy, map_from_entries(list(ROW(i, [CAST(sx // n AS BIGINT), CAST(sy // n AS BIGINT)]))) AS m
+    FROM (
+      SELECT step, cx, cy, {NEAREST} AS i, sum(x) AS sx, sum(y) AS sy, count(*) AS n
+      FROM (SELECT step, cx, cy, x, y, {SQUARES} AS d FROM lloyd CROSS JOIN points WHERE step < 10)
+      GROUP BY ALL)
+    GROUP BY ALL)),
+centres AS (SELECT cx, cy FROM lloyd WHERE step = 10)"""
+
+
+def _clustered(rows: str) -> str:
+    return (
+        f"SELECT * EXCLUDE (cx, cy, d, x, y), {NEAREST} - 1 AS pickup_cluster FROM (SELECT *, {SQUARES} AS d "
+        f"FROM (SELECT *, {MICRO_X} AS x, {MICRO_Y} AS y FROM {rows}) CROSS JOIN centres)"
+    )
+
+
+PICKUP_CLUSTERS = clean(
+    "SELECT CAST(pickup_cluster AS INT) AS pickup_cluster, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(pickup_cluster AS STRING)) - 1 AS INT) "
+    f"AS cluster_idx, count(*) AS trips, {r('avg(pickup_longitude)', 'mean_longitude')}, {r('avg(pickup_latitude)', 'mean_latitude')} "
+    f"FROM ({_clustered('train')}) GROUP BY pickup_cluster",
+    CENTRES,
+)
+
+CLUSTER_TERMS = [
+    f"z[{j}]" if i is None else f"z[{i}] * z[{j}]"
+    for j in range(1, len(S.CLUSTER_10) + 1)
+    for i in (None, *range(1, j + 1))
+]
+CLUSTER_SWEEPS = 40
+
+
+def _optimized(points: list[tuple[str, str]]) -> str:
+    """Scores of the grid for degree-2 terms with clusters, as CTEs ending in ``opt_errors``.
+
+    Set -1 is all training rows, held against the test rows; set f is the training rows outside fold f, held against that
+    fold. Indexes and scales are those of the set's own rows. Ridge points are solved by elimination, the others by
+    coordinate descent, both on correlations.
+    """
+    n, k = len(S.CLUSTER_10), len(CLUSTER_TERMS)
+    plain = ", ".join(f"CAST({f} AS DOUBLE)" for f in S.BASE_9 if f != "vendor_idx")
+    order = ["vendor" if f == "vendor_idx" else "cluster" if f == "cluster_idx" else f for f in S.CLUSTER_10]
+    assert order[-2:] == ["vendor", "cluster"]
+    corr = ", ".join(f"coalesce(nullif(corr(v[{a}], v[{b}]), 'NaN'), 0e0) AS g_{a}_{b}" for a in range(1, k + 1) for b in range(a + 1, k + 1))
+    matrix = ", ".join(
+        "[" + ", ".join("1e0" if a == b else f"g_{min(a, b)}_{max(a, b)}" for b in range(1, k + 1)) + "]" for a in range(1, k + 1)
+    )
+    parts = ", ".join(
+        f"[{', '.join(e.format(f'v[{i}]') for i in range(1, k + 1))}] AS {name}"
+        for e, name in (("coalesce(nullif(corr({}, y), 'NaN'), 0e0)", "c"), ("stddev_pop({})", "sx"), ("avg({})", "mx"))
+    )
+    ridges = ", ".join(f"({p})" for p, a in points if float(a) == 0)
+    nets = ", ".join(f"({p}, {a})" for p, a in points if float(a))
+    turn = f"step % {k} + 1"
+    return f""",
+folded AS (SELECT *, {hash_bits('id', 1)} % 3 AS fold FROM ({_clustered('train')})),
+sets AS (
+  SELECT part, fold = part AS held, * EXCLUDE (fold, part) FROM folded CROSS JOIN (SELECT unnest([-1, 0, 1, 2]) AS part)
+  UNION ALL SELECT -1, TRUE, * FROM ({_clustered('test')})),
+opt_vendors AS (
+  SELECT part, vendor_id, row_number() OVER (PARTITION BY part ORDER BY count(*) DESC, CAST(vendor_id AS STRING)) - 1 AS i
+  FROM sets WHERE NOT held GROUP BY part, vendor_id),
+opt_clusters AS (
+  SELECT part, pickup_cluster, row_number() OVER (PARTITION BY part ORDER BY count(*) DESC, CAST(pickup_cluster AS STRING)) - 1 AS i
+  FROM sets WHERE NOT held GROUP BY part, pickup_cluster),
+opt_rows AS MATERIALIZED (
+  SELECT part, held, log_duration AS y, [{plain},
+    CAST(coalesce(opt_vendors.i, (SELECT count(*) FROM opt_vendors w WHERE w.part = sets.part)) AS DOUBLE),
+    CAST(coalesce(opt_clusters.i, (SELECT count(*) FROM opt_clusters w WHERE w.part = sets.part)) AS DOUBLE)] AS x
+  FROM sets LEFT JOIN opt_vendors USING (part, vendor_id) LEFT JOIN opt_clusters USING (part, pickup_cluster)),
+opt_scales AS (
+  SELECT part, [{', '.join(f'avg(x[{i}])' for i in range(1, n + 1))}] AS mu, [{', '.join(f'stddev_samp(x[{i}])' for i in range(1, n + 1))}] AS sd
+  FROM opt_rows WHERE NOT held GROUP BY part),
+opt_terms AS MATERIALIZED (
+  SELECT part, held, y, [{', '.join(CLUSTER_TERMS)}] AS v
+  FROM (
+    SELECT part, held, y, list_transform(range(1, {n + 1}), lambda i: CASE WHEN sd[i] > 0 THEN (x[i] - mu[i]) / sd[i] ELSE 0e0 END) AS z
+    FROM opt_rows JOIN opt_scales USING (part))),
+opt_corr AS (
+  SELECT part, {corr}, {parts}, stddev_pop(y) AS sy, avg(y) AS my FROM opt_terms WHERE NOT held GROUP BY part),
+opt_moments AS MATERIALIZED (SELECT part, [{matrix}] AS g, c, sx, mx, sy, my FROM opt_corr),
+opt_solve AS (
+  SELECT part, penalty, 1 AS step, list_transform(range(1, {k + 1}), lambda i: list_append(
+      list_transform(range(1, {k + 1}), lambda j: g[i][j] + CASE WHEN i = j THEN penalty / sy ELSE 0e0 END), c[i])) AS m
+  FROM opt_moments CROSS JOIN (VALUES {ridges}) AS p(penalty)
+  UNION ALL
+  SELECT part, penalty, step + 1, list_transform(range(1, {k + 1}), lambda i: list_transform(range(1, {k + 2}), lambda j:
+      CASE WHEN i = step THEN m[step][j] / m[step][step] ELSE m[i][j] - m[i][step] * m[step][j] / m[step][step] END))
+  FROM opt_solve WHERE step <= {k}),
+opt_steps AS (
+  SELECT part, penalty, alpha, 0 AS step, list_transform(range(1, {k + 1}), lambda i: 0e0) AS w
+  FROM opt_moments CROSS JOIN (VALUES {nets}) AS p(penalty, alpha)
+  UNION ALL
+  SELECT part, penalty, alpha, step + 1, list_transform(range(1, {k + 1}), lambda i: CASE WHEN i = turn
+      THEN sign(z) * greatest(abs(z) - penalty * alpha / sy, 0) / (1 + penalty * (1 - alpha) / sy) ELSE w[i] END)
+  FROM (SELECT s.*, sy, {turn} AS turn, c[{turn}] - list_dot_product(g[{turn}], w) + w[{turn}] AS z
+    FROM opt_steps s JOIN opt_moments USING (part) WHERE step < {CLUSTER_SWEEPS * k})),
+opt_weights AS (
+  SELECT part, penalty, alpha, my, mx,
+    list_transform(range(1, {k + 1}), lambda i: CASE WHEN sx[i] > 0 THEN w[i] * sy / sx[i] ELSE 0e0 END) AS b
+  FROM (
+    SELECT part, penalty, 0e0 AS alpha, list_transform(range(1, {k + 1}), lambda i: m[i][{k + 1}]) AS w FROM opt_solve WHERE step = {k + 1}
+    UNION ALL SELECT part, penalty, alpha, w FROM opt_steps WHERE step = {CLUSTER_SWEEPS * k})
+  JOIN opt_moments USING (part)),
+opt_tested AS (
+  SELECT part, penalty, alpha, y, my + list_dot_product(b, v) - list_dot_product(b, mx) AS p
+  FROM opt_terms JOIN opt_weights USING (part) WHERE held),
+opt_scores AS (
+  SELECT penalty, alpha, avg(rmse) AS mean_rmse
+  FROM (SELECT penalty, alpha, part, sqrt(avg(power(y - p, 2))) AS rmse FROM opt_tested WHERE part >= 0 GROUP BY ALL) GROUP BY ALL),
+opt_best AS (SELECT penalty, alpha FROM opt_scores ORDER BY mean_rmse, penalty, alpha LIMIT 1),
+opt_chosen AS (SELECT t.* FROM opt_tested t JOIN opt_best USING (penalty, alpha) WHERE part = -1)"""
+
+
+OPTIMIZED = CENTRES + _optimized([(f"{p}e-2", f"{a}e-1") for p in (1, 5, 10) for a in (0, 3, 7)])
+CLUSTER_GRID = clean(
+    f"SELECT penalty AS reg_param, alpha AS elastic_net, {r('mean_rmse', 'mean_rmse', FITTED_PLACES)} FROM opt_scores", OPTIMIZED
+)
+CHOSEN_BODY = f"SELECT 'Optimized' AS model, {metric_columns(places=FITTED_PLACES)} FROM opt_chosen"
+OPTIMIZED_ROW = clean(f"SELECT * FROM ({CHOSEN_BODY}) CROSS JOIN (SELECT penalty AS reg_param, alpha AS elastic_net FROM opt_best)", OPTIMIZED)
+COMPARED_BODY = " UNION ALL ".join(
+    f"SELECT '{title}' AS model, {metric_columns(places=FITTED_PLACES)} FROM (SELECT log_duration AS y, "
+    f"{prediction(name, features)} AS p FROM test CROSS JOIN {name}_weights)"
+    for title, name, features in PLAIN[1:]
+) + f" UNION ALL {CHOSEN_BODY}"
+COMPARED = OPTIMIZED + "".join(ridge(name, features) for _, name, features in PLAIN[1:])
+
 LOST = "CASE WHEN CAST(substr(id, 3) AS BIGINT) % 50 <> 1 THEN id ELSE '' END"
 NULL_IDS = clean(
     f"SELECT CAST({hash_bits(LOST, 0)} % 100 < 70 AS INT) AS in_training, CAST({hash_bits(LOST, 1)} % 3 AS INT) AS fold, "
@@ -766,6 +910,11 @@ ORACLE_SQL: dict[str, str] = {
     "model_predictions": PREDICTIONS,
     "plain_model_comparison": clean(COMPARISON_BODY, ALL_RIDGES),
     "best_plain_model": clean(f"SELECT * FROM ({COMPARISON_BODY}) ORDER BY rmsle, model LIMIT 1", ALL_RIDGES),
+    "pickup_clusters": PICKUP_CLUSTERS,
+    "grid_scores": CLUSTER_GRID,
+    "model_optimized": OPTIMIZED_ROW,
+    "model_comparison": clean(COMPARED_BODY, COMPARED),
+    "best_model": clean(f"SELECT * FROM ({COMPARED_BODY}) ORDER BY rmsle, model LIMIT 1", COMPARED),
     "model_residuals_by_hour": clean(
         _hour_profile("residual_sec", "left_over", FITTED_PLACES, FITTED_PLACES),
         TESTED

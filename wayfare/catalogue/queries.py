@@ -363,21 +363,22 @@ def model_optimized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         row.withColumns(
             {"reg_param": F.lit(tuned.variant.reg_param), "elastic_net": F.lit(tuned.variant.elastic_net)}
-        )
+        ),
+        FITTED_PLACES,
     )
 
 
 def grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_rows, _, tuned = _tuned(spark, sf_dir)
-    return rounded(tuning.score_table(train_rows, tuned))
+    return rounded(tuning.score_table(train_rows, tuned), FITTED_PLACES)
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(train.compare(cleaned(spark, sf_dir)).table())
+    return rounded(train.compare(cleaned(spark, sf_dir)).table(), FITTED_PLACES)
 
 
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(metrics.best_model(train.compare(cleaned(spark, sf_dir)).table()))
+    return rounded(metrics.best_model(train.compare(cleaned(spark, sf_dir)).table()), FITTED_PLACES)
 
 
 ELASTIC = replace(M.BASELINE, name="Elastic", reg_param=0.05, elastic_net=0.3)

@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-
-from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler
+from functools import partial
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml.feature import (
+    PolynomialExpansion,
+    StandardScaler,
+    StandardScalerModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
+from wayfare.operators import clusters, moments
 
-SEED = 42
-#: Partitions in which k-means sees its points; part of what a seed means. Raise it with the number of positions.
-CLUSTER_PARTITIONS = 32
+#: Small fits in flight; changes no result.
+PARALLELISM = 8
 
 # What any variant may read; keeps training and scoring scans narrow.
 MODEL_COLUMNS = [
@@ -140,36 +151,9 @@ def regression(variant: Variant) -> LinearRegression:
     )
 
 
-def position_points(df: DataFrame, partitions: int = CLUSTER_PARTITIONS) -> DataFrame:
-    """Distinct pickup positions with their number of trips.
-
-    k-means minimises the same sum over weighted distinct points as over single
-    trips. The counts are combined in the map tasks, so a position that holds a
-    large share of all trips is one row per task. Seeded initialisation depends on
-    which points lie in which partition, and in what order: the points are hashed by
-    position into a stated number of partitions and sorted there, so the clusters
-    depend neither on the session's shuffle settings nor on the layout of the input.
-    Another ``partitions`` can give other clusters.
-    """
-    lon, lat = S.POSITION_2
-    counted = df.groupBy(lon, lat).agg(F.count("*").cast("double").alias("trips"))
-    return counted.repartition(partitions, lon, lat).sortWithinPartitions(lon, lat)
-
-
-def fit_clusters(
-    df: DataFrame, k: int = 10, seed: int = SEED, partitions: int = CLUSTER_PARTITIONS
-) -> list[Transformer]:
-    """Fitted stages: position vector, then its nearest of ``k`` centres as ``pickup_cluster``."""
-    vector = assembler(S.POSITION_2, "pickup_position")
-    points = vector.transform(position_points(df, partitions)).select("pickup_position", "trips")
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = KMeans(
-            k=k, seed=seed, featuresCol="pickup_position", predictionCol="pickup_cluster", weightCol="trips"
-        ).fit(points)
-    finally:
-        points.unpersist()
-    return [vector, model]
+def fit_clusters(df: DataFrame, k: int = 10, rounds: int = clusters.ROUNDS) -> list[Transformer]:
+    """The stage that gives a pickup position the nearest of ``k`` centres as ``pickup_cluster``."""
+    return [clusters.cluster_stage(clusters.fit_centres(df, k, rounds))]
 
 
 def cluster_table(df: DataFrame, stages: list[Transformer]) -> DataFrame:
@@ -188,35 +172,65 @@ def cluster_table(df: DataFrame, stages: list[Transformer]) -> DataFrame:
     )
 
 
-def cluster_centres(stages: list[Transformer]) -> list[list[float]]:
-    model = next(s for s in stages if isinstance(s, KMeansModel))
-    return [list(map(float, c)) for c in model.clusterCenters()]
+def fitted_scaler(variant: Variant, mean: np.ndarray, spread: np.ndarray, spark: SparkSession) -> StandardScalerModel:
+    """Spark's scaler, fitted on two rows that have this mean and sample spread."""
+    half = spread / np.sqrt(2)
+    rows = spark.createDataFrame([(Vectors.dense(v),) for v in (mean - half, mean + half)], [f"{variant.prefix}_raw"])
+    return scaler(f"{variant.prefix}_raw", f"{variant.prefix}_scaled").fit(rows.coalesce(1))
+
+
+def fitted_index(features: tuple[str, ...], labels: dict[str, list[str]]) -> StringIndexerModel:
+    """Spark's indexer with these labels; other values and NULL get the extra index."""
+    names = [f for f in features if f in labels]
+    inputs = [moments.CATEGORY_OF[f] for f in names]
+    return StringIndexerModel.from_arrays_of_labels([labels[f] for f in names], inputs, names, handleInvalid="keep")
+
+
+def fit_from_moments(variant: Variant, sums: moments.Moments, spark: SparkSession) -> list[Transformer]:
+    """Fitted stages of a variant: index, assemble, scale, expand, regress. No pass over the training rows."""
+    labels = {f: sums.labels(f) for f in variant.features if f in moments.CATEGORY_OF}
+    mean, spread = sums.scale(variant.features, labels)
+    line = regression(variant).setWeightCol("trips")
+    rows = moments.moment_rows(sums.gram(variant.features, variant.degree, labels, mean, spread))
+    scale, fitted = at_once(
+        spark,
+        lambda: fitted_scaler(variant, mean, spread, spark),
+        lambda: line.fit(rows.table(spark, line.getFeaturesCol())),
+    )
+    index = [fitted_index(variant.features, labels)] if labels else []
+    return [*index, scale_stages(variant)[0], scale, *expand_stages(variant), fitted]
+
+
+def at_once(spark: SparkSession, *tasks: Callable[[], object]) -> list:
+    """What the tasks return; each is a small job whose time is mostly set-up, so up to ``PARALLELISM`` are in flight."""
+    call = inheritable_thread_target(spark)(lambda task: task())
+    with ThreadPool(max(1, min(PARALLELISM, len(tasks)))) as pool:
+        return pool.map(call, tasks, chunksize=1)
+
 
+def collect_variants(train: DataFrame, variants: list[Variant], fold: str | None = None) -> moments.Moments:
+    """What any of the variants needs to know of the training rows, from one pass."""
+    features = [f for v in variants for f in v.features]
+    return moments.collect_moments(train, features, max(v.degree for v in variants), fold)
 
-def fit_variants(
-    train: DataFrame, variants: list[Variant], clusters_k: int = 10, partitions: int | None = None
-) -> dict[str, PipelineModel]:
-    """Fit every variant on one persisted training frame, dealt into ``partitions`` if given.
 
-    The index stage is the same for all variants, so it is fitted once. A
-    clustered variant gets position stages that turn a raw pickup position into
-    ``pickup_cluster`` in front, so its model scores raw requests.
+def fit_variants(train: DataFrame, variants: list[Variant], clusters_k: int = 10) -> dict[str, PipelineModel]:
+    """Fit every variant from sums of products that one pass over the training rows collects for all of them.
+
+    A clustered variant gets the position stage that turns a raw pickup position into ``pickup_cluster``
+    in front, so its model scores raw requests; its centres need passes of their own.
     """
-    if partitions:
-        train = train.repartition(partitions, "id")
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        head: list[Transformer] = fit_clusters(train, clusters_k) if any(v.clustered for v in variants) else []
-        indexed = PipelineModel(stages=head).transform(train) if head else train
-        head = [*head, index_stage(variants).fit(indexed)]
-        indexed = head[-1].transform(indexed)
-        models = {}
-        for v in variants:
-            tail = Pipeline(stages=[*scale_stages(v), *expand_stages(v), regression(v)]).fit(indexed)
-            models[v.name] = PipelineModel(stages=[*head, *tail.stages])
-        return models
-    finally:
-        train.unpersist()
+    head = fit_clusters(train, clusters_k) if any(v.clustered for v in variants) else []
+    sums = collect_variants(PipelineModel(stages=head).transform(train) if head else train, variants)
+    fitted = fit_all(variants, sums, train.sparkSession)
+    return {
+        v.name: PipelineModel(stages=[*(head if v.clustered else []), *stages]) for v, stages in zip(variants, fitted, strict=True)
+    }
+
+
+def fit_all(variants: list[Variant], sums: moments.Moments, spark: SparkSession) -> list[list[Transformer]]:
+    """``fit_from_moments`` of every variant."""
+    return at_once(spark, *(partial(fit_from_moments, v, sums, spark) for v in variants))
 
 
 def predict_variants(df: DataFrame, models: dict[str, PipelineModel], variants: list[Variant]) -> DataFrame:

@@ -3,30 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from multiprocessing.pool import ThreadPool
+from functools import partial
 
-import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.param import Param
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wayfare import schema as S
 from wayfare.operators import models as M
+from wayfare.operators import moments
 from wayfare.operators.split import fold_of
 
 # The search grid.
 REG_PARAMS = (0.01, 0.05, 0.1)
 ELASTIC_NETS = (0.0, 0.3, 0.7)
 FOLDS = 3
-PARALLELISM = 4  # fits in flight; changes no result
 
 
 @dataclass(frozen=True)
@@ -52,122 +45,74 @@ def parameter_grid(
     )
 
 
-def _fit_grid(
-    lr: LinearRegression, features: DataFrame, grid: list[dict[Param, float]], parallelism: int
-) -> list[LinearRegressionModel]:
-    fits = lr.fitMultiple(features, grid)
-    fit_next = inheritable_thread_target(features.sparkSession)(lambda _: next(fits))
-    with ThreadPool(min(parallelism, len(grid))) as pool:
-        found: dict[int, LinearRegressionModel] = dict(pool.imap_unordered(fit_next, grid))
-    return [found[i] for i in range(len(grid))]
-
-
-def gram_matrix(df: DataFrame, features: str, label: str = S.LABEL) -> np.ndarray:
-    """Sums of products of (features, label, 1) over all rows, in one pass.
+def search(
+    sums: moments.Moments,
+    spark: SparkSession,
+    variant: M.Variant,
+    reg_params: tuple[float, ...] = REG_PARAMS,
+    elastic_nets: tuple[float, ...] = ELASTIC_NETS,
+) -> tuple[M.Variant, list[GridScore]]:
+    """The variant with the settings of the least mean held-out error, and all errors, from the sums of each fold.
 
-    Each task adds up its own matrix and the matrices are tree-summed; its size
-    depends on the number of features only.
+    A fold's fit sees the sums of all others: its indexes, its scales, its products. No pass over the rows.
     """
-    row = M.assembler([features, label, "unit"], "row").transform(df.withColumn("unit", F.lit(1.0))).select("row")
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(row, "row")).computeGramianMatrix().toArray()
+    lr = M.regression(variant)
+    features, grid = lr.getFeaturesCol(), parameter_grid(lr, reg_params, elastic_nets)
+    tests, tables = [], []
+    for fold in sums.folds:
+        fit, held_out = sums.part(lambda f, fold=fold: f != fold), sums.part(lambda f, fold=fold: f == fold)
+        labels = {f: fit.labels(f) for f in variant.features if f in moments.CATEGORY_OF}
+        scale = fit.scale(variant.features, labels)
+        reduced, test = (moments.moment_rows(s.gram(variant.features, variant.degree, labels, *scale)) for s in (fit, held_out))
+        tests.append(test)
+        tables.append(reduced.table(spark, features).persist(StorageLevel.MEMORY_AND_DISK))
+    weighted = lr.copy().setWeightCol("trips")
+    try:
+        tasks = [partial(weighted.fit, table, point) for table in tables for point in grid]
+        fitted = M.at_once(spark, *tasks)
+    finally:
+        for table in tables:
+            table.unpersist()
+    places = [(fold, test, point) for fold, test in zip(sums.folds, tests, strict=True) for point in grid]
+    scores = [
+        GridScore(point[lr.regParam], point[lr.elasticNetParam], fold, test.rmse(model))
+        for (fold, test, point), model in zip(places, fitted, strict=True)
+    ]
+    best = min(grid, key=lambda point: _mean_rmse(scores, point[lr.regParam], point[lr.elasticNetParam]))
+    return replace(variant, reg_param=best[lr.regParam], elastic_net=best[lr.elasticNetParam]), scores
+
+
+def tuned_from(
+    sums: moments.Moments, spark: SparkSession, variant: M.Variant, clusters: list[Transformer] | None = None, **settings
+) -> Tuned:
+    """Search, then the fit of the chosen variant on all folds."""
+    chosen, scores = search(sums, spark, variant, **settings)
+    position_stages = list(clusters or []) if variant.clustered else []
+    return Tuned(chosen, PipelineModel(stages=[*position_stages, *M.fit_from_moments(chosen, sums, spark)]), scores)
 
 
-@dataclass(frozen=True)
-class MomentRows:
-    """A few equally weighted rows with the sums of products of a whole table."""
-
-    x: np.ndarray
-    y: np.ndarray
-    weight: float
-
-    def rmse(self, model: LinearRegressionModel) -> float:
-        error = self.y - self.x @ model.coefficients.toArray() - model.intercept
-        return float(np.sqrt(np.mean(error**2)))
-
-    def table(self, spark: SparkSession, features: str, label: str = S.LABEL) -> DataFrame:
-        rows = [(Vectors.dense(x), float(y), self.weight) for x, y in zip(self.x, self.y, strict=True)]
-        schema = T.StructType(
-            [
-                T.StructField(features, VectorUDT()),
-                T.StructField(label, T.DoubleType()),
-                T.StructField("trips", T.DoubleType()),
-            ]
-        )
-        return spark.createDataFrame(rows, schema).coalesce(1)
-
-
-def moment_rows(gram: np.ndarray) -> MomentRows:
-    """Rows R with R'R = gram, turned so that the unit column is the same in each.
-
-    Least squares sees a table only through these sums, so a fit on the rows is
-    the fit on the table.
-    """
-    size, n = len(gram), gram[-1, -1]
-    values, vectors = np.linalg.eigh(gram)
-    rows = np.sqrt(np.clip(values, 0.0, None))[:, None] * vectors.T
-    # Reflect the unit column onto the diagonal direction.
-    target = np.full(size, 1 / np.sqrt(size))
-    axis = rows[:, -1] / np.sqrt(n) - target
-    if axis @ axis > 1e-24:
-        rows = rows - 2.0 * np.outer(axis, axis @ rows) / (axis @ axis)
-    rows = rows / np.sqrt(n / size)
-    # A constant column stays constant: rounding must not give it a spread.
-    mean = gram[:, -1] / n
-    constant = np.diag(gram) / n - mean**2 <= 1e-12 * np.diag(gram) / n
-    rows[:, constant] = mean[constant]
-    return MomentRows(rows[:, :-2], rows[:, -2], float(n / size))
+def with_folds(train: DataFrame, clusters: list[Transformer] | None, folds: int) -> DataFrame:
+    """The rows with their cluster and their fold; folds come from the id's hash, so they survive any repartitioning."""
+    for stage in clusters or []:
+        train = stage.transform(train)
+    return train.withColumn("fold", fold_of(folds=folds))
 
 
 def cross_validate(
     train: DataFrame,
     variant: M.Variant = M.OPTIMIZED,
     clusters: list[Transformer] | None = None,
-    reg_params: tuple[float, ...] = REG_PARAMS,
-    elastic_nets: tuple[float, ...] = ELASTIC_NETS,
     folds: int = FOLDS,
-    parallelism: int = PARALLELISM,
+    **settings,
 ) -> Tuned:
     """Choose ``reg_param`` and ``elastic_net`` by mean held-out RMSE, then refit on all of ``train``.
 
-    Gives what ``CrossValidator`` gives over the whole pipeline with the same
-    folds. That reads the training rows several times for every fold and grid
-    point; here a fold's preparing stages are fitted once, its rows are reduced
-    once to their sums of products, and all grid points are fitted and scored on
-    the few rows that carry those sums. The number of passes does not grow with
-    the grid. Folds come from the id's hash, so they survive any repartitioning.
+    Gives what ``CrossValidator`` gives over the whole pipeline with the same folds. That reads the training rows
+    several times for every fold and grid point; here one pass collects the sums of products of every fold, and
+    everything else is fitted on the few rows that carry such sums.
     """
-    spark = train.sparkSession
-    for stage in clusters or [] if variant.clustered else []:
-        train = stage.transform(train)
-    train = train.withColumn("fold", fold_of(folds=folds)).persist(StorageLevel.MEMORY_AND_DISK)
-    lr = M.regression(variant)
-    features = lr.getFeaturesCol()
-    grid = parameter_grid(lr, reg_params, elastic_nets)
-    scores: list[GridScore] = []
-    try:
-        for fold in range(folds):
-            fit_rows, held_out = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
-            prepare = Pipeline(stages=M.vector_stages(variant)).fit(fit_rows)
-            reduced, test = (
-                moment_rows(gram_matrix(prepare.transform(rows).select(features, S.LABEL), features))
-                for rows in (fit_rows, held_out)
-            )
-            table = reduced.table(spark, features).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                fitted = _fit_grid(lr.copy().setWeightCol("trips"), table, grid, parallelism)
-            finally:
-                table.unpersist()
-            scores += [
-                GridScore(point[lr.regParam], point[lr.elasticNetParam], fold, test.rmse(model))
-                for point, model in zip(grid, fitted, strict=True)
-            ]
-        best = min(grid, key=lambda point: _mean_rmse(scores, point[lr.regParam], point[lr.elasticNetParam]))
-        chosen = replace(variant, reg_param=best[lr.regParam], elastic_net=best[lr.elasticNetParam])
-        fitted_stages = Pipeline(stages=[*M.vector_stages(chosen), M.regression(chosen)]).fit(train).stages
-    finally:
-        train.unpersist()
-    position_stages = list(clusters or []) if variant.clustered else []
-    return Tuned(chosen, PipelineModel(stages=position_stages + list(fitted_stages)), scores)
+    rows = with_folds(train, clusters if variant.clustered else None, folds)
+    return tuned_from(M.collect_variants(rows, [variant], "fold"), train.sparkSession, variant, clusters, **settings)
 
 
 def _mean_rmse(scores: list[GridScore], reg_param: float, elastic_net: float) -> float:

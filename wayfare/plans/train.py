@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
@@ -44,15 +43,18 @@ class Comparison:
         return name, self.models[name]
 
 
-def compare(clean: DataFrame, **search) -> Comparison:
-    """Baseline, +Interaction and the tuned model on one split; the training rows are read once and held for all fits."""
+def compare(clean: DataFrame, folds: int = tuning.FOLDS, **search) -> Comparison:
+    """Baseline, +Interaction and the tuned model on one split.
+
+    The training rows are read twice: for the positions, and for the sums of products from which all three
+    models and the whole grid are fitted.
+    """
     train, test = hash_split(M.model_frame(clean))
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = M.fit_variants(train, [M.BASELINE, M.INTERACTION])
-        tuned = tune_optimized(train, **search)
-    finally:
-        train.unpersist()
+    spark, clusters = clean.sparkSession, M.fit_clusters(train)
+    sums = M.collect_variants(tuning.with_folds(train, clusters, folds), COMPARED, "fold")
+    plain = [M.BASELINE, M.INTERACTION]
+    fitted = {v.name: PipelineModel(stages=stages) for v, stages in zip(plain, M.fit_all(plain, sums, spark), strict=True)}
+    tuned = tuning.tuned_from(sums, spark, M.OPTIMIZED, clusters, **search)
     fitted[M.OPTIMIZED.name] = tuned.model
     return Comparison(fitted, M.predict_variants(test, fitted, COMPARED), tuned)
 
