@@ -32,7 +32,7 @@ def test_jobs_end_to_end(spark, trips):
         ["stream", "--requests", f"{root}/incoming", "--out", f"{root}/live", "--rejected", f"{root}/live-bad"]
         + ["--checkpoint", f"{root}/log", "--once", *common]
     )
-    batch, live = spark.read.parquet(f"{root}/batch"), spark.read.parquet(f"{root}/live")
+    batch, live = spark.read.parquet(f"{root}/batch"), spark.read.parquet(f"{root}/live").drop("batch")
     assert batch.count() + spark.read.parquet(f"{root}/bad").count() == trips.count()
     assert {r.scorer for r in batch.select("scorer").distinct().collect()} == {"model"}
     assert sorted(map(str, batch.collect())) == sorted(map(str, live.collect()))

@@ -11,6 +11,7 @@ from tests.demo import demo_requests
 from wayfare import schema as S
 from wayfare.operators import clean, metrics, profile, split, stats, validate
 from wayfare.operators import models as M
+from wayfare.plans import explore
 
 # Rows left after each cleaning step, by scale factor.
 FUNNEL = {
@@ -229,3 +230,45 @@ def test_split_keeps_rows_without_an_id(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "id string")
     train, test = split.hash_split(df)
     assert train.count() + test.count() == 3
+
+
+def test_raw_reports_equal_the_reports_one_by_one(spark, trips):
+    """Three passes for all of them: the tables are those of the single operators."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = trips.mapInArrow(count, trips.schema)
+    found = {name: table.collect() for name, table in explore.raw_reports(counted).items()}
+    assert seen.value <= 3 * trips.count()
+    rules = clean.CleanRules()
+    seated = clean.filter_passengers(trips)
+    placed = clean.filter_positions(seated)
+    single = {
+        "schema": profile.schema_listing(trips),
+        "shape": profile.table_shape(trips),
+        "preview": profile.preview(trips),
+        "missing": profile.missing_profile(trips),
+        "describe": profile.describe_numeric(trips, ["vendor_id", *S.NUMERIC_COLUMNS]),
+        "describe_strings": profile.describe_strings(trips, ["id", "store_and_fwd_flag"]),
+        "flag": stats.frequency(trips, "store_and_fwd_flag"),
+        "passengers": stats.frequency(trips, "passenger_count"),
+        "vendor_share": stats.share(trips, "vendor_id"),
+        "vendor_duration": stats.group_mean(trips, "vendor_id", "trip_duration", "avg_duration"),
+        "funnel": clean.cleaning_funnel(trips),
+        "positions": stats.coordinate_grid(seated, explore.GRID_DEGREES),
+        "positions_zoomed": stats.coordinate_grid(seated, explore.GRID_DEGREES, rules.lon_range, rules.lat_range),
+        "duration_summary": profile.value_summary(placed, "trip_duration"),
+        "duration_histogram": stats.histogram_fixed(placed, "trip_duration", 100, 0, 3600),
+    }
+    assert set(found) == set(single)
+
+    def cells(rows):
+        return sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in rows)
+
+    for name, table in single.items():
+        assert [c.name for c in table.schema] == list(found[name][0].__fields__), name
+        assert cells(found[name]) == cells(table.collect()), name

@@ -17,7 +17,7 @@ from wayfare.plans import explore, serve, train
 from wayfare.schema import REQUEST_SCHEMA
 from wayfare.sources import models, scratch, sinks
 from wayfare.sources.trips import read_trips_csv, read_trips_parquet, stream_requests
-from wayfare.streaming.score import start_quarantine, start_scoring
+from wayfare.streaming.score import start_serving
 
 
 def _model(args: argparse.Namespace):
@@ -31,13 +31,15 @@ def _model(args: argparse.Namespace):
 
 
 def run_explore(spark: SparkSession, args: argparse.Namespace) -> None:
-    if args.format == "csv":
-        trips, rejected = explore.ingest_csv(spark, args.trips, args.table or scratch.run_dir(spark, "trips"))
-        if args.reports:
-            sinks.export_csv(rejected, f"{args.reports}/malformed")
-    else:
-        trips = read_trips_parquet(spark, args.trips)
-    explore.explore(spark, trips, args.clean, args.reports, rebalance=args.rebalance)
+    with scratch.scope(spark):
+        funnel = None
+        if args.format == "csv":
+            trips, rejected, funnel = explore.ingest_csv(spark, args.trips, args.table or scratch.run_dir(spark, "trips"))
+            if args.reports:
+                sinks.export_csv(rejected, f"{args.reports}/malformed")
+        else:
+            trips = read_trips_parquet(spark, args.trips)
+        explore.explore(spark, trips, args.clean, args.reports, rebalance=args.rebalance, funnel=funnel)
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -59,18 +61,12 @@ def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
         requests = read_trips_csv(spark, args.requests, schema=REQUEST_SCHEMA)
     else:
         requests = read_trips_parquet(spark, args.requests)
-    serve.score_requests(requests, _model(args)).write.mode("overwrite").parquet(args.out)
-    serve.rejected_requests(requests).write.mode("overwrite").parquet(args.rejected)
+    serve.write_scored(requests, args.out, args.rejected, _model(args))
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = stream_requests(spark, args.requests)
-    queries = [
-        start_scoring(requests, args.out, f"{args.checkpoint}/scored", _model(args), once=args.once),
-        start_quarantine(requests, args.rejected, f"{args.checkpoint}/rejected", once=args.once),
-    ]
-    for query in queries:
-        query.awaitTermination()
+    start_serving(requests, args.out, args.rejected, args.checkpoint, _model(args), once=args.once).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:

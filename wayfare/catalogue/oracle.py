@@ -656,7 +656,7 @@ BEST_POINT = clean(
 
 # Whole micro-degrees, counted from the date line and the south pole.
 MICRO_X, MICRO_Y = (
-    f"CAST(floor({c} * 1000000e0 + 5e-1) AS BIGINT) + {o}" for c, o in (("pickup_longitude", 180000000), ("pickup_latitude", 90000000))
+    f"(CAST(floor({c} * 1000000e0 + 5e-1) AS BIGINT) + {o})" for c, o in (("pickup_longitude", 180000000), ("pickup_latitude", 90000000))
 )
 SQUARES = "list_transform(range(1, len(cx) + 1), lambda j: (x - cx[j]) * (x - cx[j]) + (y - cy[j]) * (y - cy[j]))"
 NEAREST = "list_position(d, list_min(d))"
@@ -805,6 +805,22 @@ NULL_IDS = clean(
 )
 BROKEN = "CAST(substr(id, 3) AS BIGINT) % 61 = 0 OR CAST(substr(id, 3) AS BIGINT) % 67 = 0"
 
+CSV_FUNNEL = f"""WITH {TRIPS},
+d AS ({distance_of("(SELECT *, NOT (" + BROKEN + ") AS parsed FROM trips)")}),
+s AS (SELECT *, distance_km / (trip_duration / 3600e0) AS avg_speed_kmh FROM d),
+n AS (SELECT count(*) AS n0, count(*) FILTER (parsed) AS n1,
+  count(*) FILTER (parsed AND {PASSENGERS_OK}) AS n2,
+  count(*) FILTER (parsed AND {PASSENGERS_OK} AND {POSITION_OK}) AS n3,
+  count(*) FILTER (parsed AND {PASSENGERS_OK} AND {POSITION_OK} AND {DURATION_OK}) AS n4,
+  count(*) FILTER (parsed AND {PASSENGERS_OK} AND {POSITION_OK} AND {DURATION_OK} AND {SPEED_OK}) AS n5 FROM s)
+SELECT CAST(0 AS INT) AS position, 'raw' AS step, n0 AS rows, CAST(0 AS BIGINT) AS dropped FROM n
+UNION ALL SELECT 1, 'malformed', n1, n0 - n1 FROM n
+UNION ALL SELECT 2, 'passenger_count', n2, n1 - n2 FROM n
+UNION ALL SELECT 3, 'bounding_box', n3, n2 - n3 FROM n
+UNION ALL SELECT 4, 'trip_duration', n4, n3 - n4 FROM n
+UNION ALL SELECT 5, 'speed', n5, n4 - n5 FROM n"""
+SOON = "CAST(substr(id, 3) AS BIGINT) % 3 = 1 AND CAST(substr(id, 3) AS BIGINT) % 71 = 0"
+
 RULE_TESTED = clean("", f""",
 ruled AS (SELECT *, log_duration AS y, ln(1e0 + ({ADDITIVE})) AS p FROM clean)""")
 
@@ -868,6 +884,25 @@ ORACLE_SQL: dict[str, str] = {
     "csv_scan_malformed": trips(
         f"SELECT {TRIP_SELECT}, (SELECT count(*) FROM trips WHERE {BROKEN}) AS rejected FROM trips WHERE NOT ({BROKEN})"
     ),
+    "csv_funnel": CSV_FUNNEL,
+    "clean_month_rerun": clean(f"SELECT {CLEAN_SELECT} FROM clean"),
+    "density_zoom": clean(
+        "SELECT CAST(level AS INT) AS level, x >> level AS cell_x, y >> level AS cell_y, count(*) AS count "
+        f"FROM (SELECT {MICRO_X} // 1000 AS x, {MICRO_Y} // 1000 AS y FROM clean) CROSS JOIN (SELECT unnest(range(8)) AS level) "
+        "GROUP BY ALL"
+    ),
+    "merged_hour_quartiles": clean(
+        "SELECT pickup_hour, count(trip_duration) AS n, TRUE AS q1_within, TRUE AS median_within, TRUE AS q3_within "
+        "FROM clean GROUP BY pickup_hour"
+    ),
+    "stream_serving": f"""WITH {VALIDATED},
+t AS (SELECT *, {ADDITIVE} AS duration_seconds FROM featured),
+scored AS ({outputs("t")})
+SELECT id, '' AS reasons, {r('duration_seconds', 'duration_seconds')} FROM scored
+UNION ALL SELECT id, reasons, NULL FROM validated WHERE reasons <> ''""",
+    "csv_mixed_headers": trips(
+        f"SELECT {TRIP_SELECT}, (SELECT count(*) FROM trips WHERE {SOON}) AS rejected FROM trips WHERE NOT ({SOON})"
+    ),
     "nullable_group_profile": trips(
         _hour_profile(
             "seats",

@@ -87,6 +87,34 @@ def clean_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(sinks.read_clean(spark, path))
 
 
+def clean_month_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose third month was written from half of its trips; that month is run again."""
+    path, whole = scratch.run_dir(spark, "clean"), cleaned(spark, sf_dir)
+    sinks.write_clean(whole.filter((F.col("pickup_month") != 3) | (_number() % 2 == 0)), path)
+    sinks.rewrite_months(whole.filter("pickup_month = 3"), path, [3])
+    return rounded(sinks.read_clean(spark, path))
+
+
+def density_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zoom pyramid as written, a folder for each level, read level by level."""
+    path = scratch.run_dir(spark, "zoom")
+    stats.density_pyramid(cleaned(spark, sf_dir), *S.POSITION_2).write.partitionBy("level").parquet(path)
+    return spark.read.parquet(path).withColumn("level", F.col("level").cast("int"))
+
+
+def merged_hour_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles by hour, merged from stored sketches by hour and month; are their ranks within the stated error?"""
+    path, trips_ = scratch.run_dir(spark, "sketches"), cleaned(spark, sf_dir)
+    stats.quantile_sketches(trips_, ["pickup_hour", "pickup_month"], "trip_duration").write.parquet(path)
+    merged = stats.merged_quartiles(spark.read.parquet(path), ["pickup_hour"])
+    ranked = trips_.select("pickup_hour", "trip_duration").join(F.broadcast(merged), "pickup_hour")  # 24 rows
+    checks = []
+    for q, name in zip(profile.QUARTILES, ("q1", "median", "q3"), strict=True):
+        below, upto = (F.avg((F.col("trip_duration") < F.col(name)).cast("double")), F.avg((F.col("trip_duration") <= F.col(name)).cast("double")))
+        checks.append(((below - stats.SKETCH_ERROR <= q) & (upto + stats.SKETCH_ERROR >= q)).alias(f"{name}_within"))
+    return ranked.groupBy("pickup_hour", "n").agg(*checks)
+
+
 def clean_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.run_dir(spark, "clean-csv")
     sinks.export_csv(cleaned(spark, sf_dir), path)
@@ -109,8 +137,8 @@ def _number() -> Column:
     return F.substring("id", 3, 20).cast("long")
 
 
-def csv_scan_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A CSV with broken cells and its columns in another order: the good rows, and how many were rejected."""
+def _broken_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A CSV with broken cells and its columns in another order."""
     exported, broken = scratch.run_dir(spark, "trips-csv"), scratch.run_dir(spark, "trips-broken")
     sinks.export_csv(raw(spark, sf_dir), exported)
     text = spark.read.option("header", True).csv(exported)
@@ -121,8 +149,32 @@ def csv_scan_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     text.select(*reversed(text.columns)).write.option("header", True).csv(broken)
-    good, rejected = explore.ingest_csv(spark, broken, scratch.run_dir(spark, "trips"))
-    return rounded(good.withColumn("rejected", F.lit(rejected.count())))
+    return broken
+
+
+def csv_scan_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good rows of a broken CSV, and how many were rejected."""
+    found = explore.ingest_csv(spark, _broken_csv(spark, sf_dir), scratch.run_dir(spark, "trips"))
+    return rounded(found.trips.withColumn("rejected", F.lit(found.malformed.count())))
+
+
+def csv_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel of a broken CSV, counted while it is written as a table."""
+    return explore.ingest_csv(spark, _broken_csv(spark, sf_dir), scratch.run_dir(spark, "trips")).funnel
+
+
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder whose parts have their columns in three orders, one with a column more, and one broken part."""
+    path, trips_ = scratch.run_dir(spark, "trips-mixed"), raw(spark, sf_dir)
+    for i in range(3):
+        part = trips_.filter(_number() % 3 == i)
+        columns = part.columns if i == 0 else part.columns[::-1] if i == 1 else [*part.columns[5:], *part.columns[:5]]
+        part = part.select(*columns).select("*", *([F.lit("x").alias("note")] if i == 2 else []))
+        broken = F.when(_number() % 71 == 0, "soon").otherwise(F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        part = part.withColumn("pickup_datetime", broken) if i == 1 else part
+        sinks.export_csv(part, f"{path}/part={i}")
+    found = explore.ingest_csv(spark, f"{path}/*", scratch.run_dir(spark, "trips"))
+    return rounded(found.trips.withColumn("rejected", F.lit(found.malformed.count())))
 
 
 def split_with_null_ids(df: DataFrame) -> DataFrame:
@@ -215,6 +267,16 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("id", F.concat_ws(",", "reasons").alias("reasons"))
 
 
+def stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one query that validates each request once leaves in its two sinks."""
+    stream = trips.requests_from_trips(trips.trips_from_events(trips.stream_events(spark, sf_dir)))
+    out, rejected = scratch.run_dir(spark, "stream-out"), scratch.run_dir(spark, "stream-rejected")
+    stream_score.start_serving(stream, out, rejected, scratch.run_dir(spark, "stream-log")).awaitTermination()
+    good = spark.read.parquet(out).select("id", F.lit("").alias("reasons"), "duration_seconds")
+    bad = spark.read.parquet(rejected).select("id", F.concat_ws(",", "reasons").alias("reasons"), F.lit(None).cast("double"))
+    return rounded(good.union(bad))
+
+
 def score_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model that is not there: the additive rule scores and says so."""
     model = model_store.load_model(scratch.run_dir(spark, "no-model"))
@@ -515,9 +577,15 @@ QUERIES: dict[str, Query] = {
     ),
     "clean_sink_roundtrip": clean_sink_roundtrip,
     "clean_csv_roundtrip": clean_csv_roundtrip,
+    "clean_month_rerun": clean_month_rerun,
+    "density_zoom": density_zoom,
+    "merged_hour_quartiles": merged_hour_quartiles,
+    "stream_serving": stream_serving,
     "csv_scan": csv_scan,
     "csv_scan_inferred": csv_scan_inferred,
     "csv_scan_malformed": csv_scan_malformed,
+    "csv_funnel": csv_funnel,
+    "csv_mixed_headers": csv_mixed_headers,
     "nullable_group_profile": on_raw(nullable_group_profile),
     "split_with_null_ids": on_clean(split_with_null_ids),
     "hour_index": hour_index,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import calendar, geo, trip
 from wayfare.operators.features import add_calendar, add_distance
+from wayfare.operators.profile import OneRow
 from wayfare.schema import DERIVED_COLUMNS
 
 
@@ -75,20 +76,23 @@ def clean_trips(trips: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame
     return featured.select(*raw.columns, *DERIVED_COLUMNS)
 
 
-def cleaning_funnel(trips: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
-    """Rows left and rows dropped after each step, from one pass over the trips."""
-    steps = ["raw", "passenger_count", "bounding_box", "trip_duration", "speed"]
+#: Steps of the funnel; a CSV has a step before them.
+STEPS = ["raw", "passenger_count", "bounding_box", "trip_duration", "speed"]
+MALFORMED = "malformed"
+
+
+def steps_passed(rules: CleanRules = CleanRules()) -> Column:
+    """How many cleaning steps a row with its measures passes before one drops it."""
     fails = [
         ~F.coalesce(ok, F.lit(False))
         for ok in (rules.passengers_ok(), rules.position_ok(), rules.duration_ok(), rules.speed_ok())
     ]
-    passed = F.when(fails[0], 0).when(fails[1], 1).when(fails[2], 2).when(fails[3], 3).otherwise(4)
-    counts = (
-        add_measures(trips)
-        .select(passed.alias("passed"))
-        .agg(*[F.count_if(F.col("passed") >= i).alias(f"n{i}") for i in range(len(steps))])
-    )
-    rows = [
+    return F.when(fails[0], 0).when(fails[1], 1).when(fails[2], 2).when(fails[3], 3).otherwise(4)
+
+
+def funnel_rows(steps: list[str]) -> list[Column]:
+    """A row for each step, from the counts n0, n1, …"""
+    return [
         F.struct(
             F.lit(i).alias("position"),
             F.lit(step).alias("step"),
@@ -97,4 +101,13 @@ def cleaning_funnel(trips: DataFrame, rules: CleanRules = CleanRules()) -> DataF
         )
         for i, step in enumerate(steps)
     ]
-    return counts.select(F.inline(F.array(*rows)))
+
+
+def funnel_report(passed: str) -> OneRow:
+    """The funnel of rows with their number of steps in the column ``passed``."""
+    return OneRow({f"n{i}": F.count_if(F.col(passed) >= i) for i in range(len(STEPS))}, funnel_rows(STEPS))
+
+
+def cleaning_funnel(trips: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
+    """Rows left and rows dropped after each step, from one pass over the trips."""
+    return funnel_report("passed").of(add_measures(trips).select(steps_passed(rules).alias("passed")))

@@ -1,12 +1,13 @@
 """Table profile: schema, shape, preview, missing values, descriptive statistics.
 
 Each function is one aggregate over the table; the one-row result is turned
-into a long table, so nothing is looped over on the driver.
+into a long table, so nothing is looped over on the driver. ``one_pass`` makes one aggregate of several.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +24,32 @@ def _is_missing(field: T.StructField) -> Column:
     return c.isNull()
 
 
-def schema_listing(df: DataFrame) -> DataFrame:
-    """Position, name, type and nullability of each column, with its number of non-NULL values."""
-    fields = df.schema.fields
-    counts = df.agg(*[F.count(f.name).alias(f"c{i}") for i, f in enumerate(fields)])
+class OneRow(NamedTuple):
+    """A report made of one row of aggregates: the aggregates by name, and the rows of the report as structs."""
+
+    aggregates: dict[str, Column]
+    rows: list[Column]
+
+    def of(self, df: DataFrame) -> DataFrame:
+        """The report as one aggregate of its own."""
+        return self.table(df.agg(*[c.alias(name) for name, c in self.aggregates.items()]))
+
+    def table(self, row: DataFrame) -> DataFrame:
+        return row.select(F.inline(F.array(*self.rows)))
+
+
+def one_pass(df: DataFrame, reports: dict[str, OneRow]) -> dict[str, DataFrame]:
+    """All the reports from a single aggregate over ``df``, which runs here; its one row comes to the driver."""
+    named = {f"{r}.{name}": c for r, report in reports.items() for name, c in report.aggregates.items()}
+    aggregated = df.agg(*[c.alias(name) for name, c in named.items()])
+    row = df.sparkSession.createDataFrame([aggregated.first()], aggregated.schema)
+    return {
+        r: report.table(row.select(*[F.col(f"`{r}.{name}`").alias(name) for name in report.aggregates]))
+        for r, report in reports.items()
+    }
+
+
+def schema_report(fields: list[T.StructField]) -> OneRow:
     rows = [
         F.struct(
             F.lit(i + 1).alias("position"),
@@ -37,11 +60,20 @@ def schema_listing(df: DataFrame) -> DataFrame:
         )
         for i, f in enumerate(fields)
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return OneRow({f"c{i}": F.count(f.name) for i, f in enumerate(fields)}, rows)
+
+
+def schema_listing(df: DataFrame) -> DataFrame:
+    """Position, name, type and nullability of each column, with its number of non-NULL values."""
+    return schema_report(df.schema.fields).of(df)
+
+
+def shape_report(columns: int) -> OneRow:
+    return OneRow({"n": F.count("*")}, [F.struct(F.col("n").alias("rows"), F.lit(columns).alias("columns"))])
 
 
 def table_shape(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+    return shape_report(len(df.columns)).of(df)
 
 
 def preview(df: DataFrame, n: int = 20, by: str = "id") -> DataFrame:
@@ -49,13 +81,7 @@ def preview(df: DataFrame, n: int = 20, by: str = "id") -> DataFrame:
     return df.orderBy(by).limit(n)
 
 
-def missing_profile(df: DataFrame) -> DataFrame:
-    """NULLs per column, NaN counted too for floating-point columns."""
-    fields = df.schema.fields
-    counts = df.agg(
-        F.count("*").alias("n"),
-        *[F.count_if(_is_missing(f)).alias(f"m{i}") for i, f in enumerate(fields)],
-    )
+def missing_report(fields: list[T.StructField]) -> OneRow:
     rows = [
         F.struct(
             F.lit(f.name).alias("column"),
@@ -65,62 +91,64 @@ def missing_profile(df: DataFrame) -> DataFrame:
         )
         for i, f in enumerate(fields)
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return OneRow({"n": F.count("*")} | {f"m{i}": F.count_if(_is_missing(f)) for i, f in enumerate(fields)}, rows)
+
+
+def missing_profile(df: DataFrame) -> DataFrame:
+    """NULLs per column, NaN counted too for floating-point columns."""
+    return missing_report(df.schema.fields).of(df)
+
+
+def _structs(columns: list[str], cells) -> OneRow:
+    """One struct for each column, with its name first."""
+    aggregates = {f"s{i}": F.struct(F.lit(c).alias("column"), *cells(c)) for i, c in enumerate(columns)}
+    return OneRow(aggregates, [F.col(name) for name in aggregates])
+
+
+def numeric_report(columns: Iterable[str]) -> OneRow:
+    return _structs(
+        list(columns),
+        lambda c: [
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev(c).alias("stddev"),
+            F.min(c).cast("double").alias("min"),
+            F.max(c).cast("double").alias("max"),
+        ],
+    )
 
 
 def describe_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """count, mean, sample stddev, min, max per numeric column, as doubles."""
-    columns = list(columns)
-    stats = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev(c).alias("stddev"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(f"s{i}")
-            for i, c in enumerate(columns)
-        ]
-    )
-    return stats.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
+    return numeric_report(columns).of(df)
+
+
+def string_report(columns: Iterable[str]) -> OneRow:
+    return _structs(list(columns), lambda c: [F.count(c).alias("count"), F.min(c).alias("min"), F.max(c).alias("max")])
 
 
 def describe_strings(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """count, min, max per string column."""
-    columns = list(columns)
-    stats = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-            ).alias(f"s{i}")
-            for i, c in enumerate(columns)
-        ]
+    return string_report(columns).of(df)
+
+
+def summary_report(column: str, accuracy: int = QUANTILE_ACCURACY, where: Column | None = None) -> OneRow:
+    """As ``value_summary``, of the rows that ``where`` accepts."""
+    value = F.col(column) if where is None else F.when(where, F.col(column))
+    cells = [F.col("count"), F.col("min"), *(F.col("q")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75")))]
+    return OneRow(
+        {
+            "count": F.count(value),
+            "min": F.min(value),
+            "q": F.percentile_approx(value, list(QUARTILES), accuracy),
+            "max": F.max(value),
+            "mean": F.avg(value),
+            "stddev": F.stddev(value),
+        },
+        [F.struct(*cells, "max", "mean", "stddev")],
     )
-    return stats.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
 
 
 def value_summary(df: DataFrame, column: str, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """count, min, quartiles, max, mean, stddev of one column; quartiles are mergeable sketches."""
-    quartiles = F.percentile_approx(column, list(QUARTILES), accuracy)
-    return df.agg(
-        F.count(column).alias("count"),
-        F.min(column).alias("min"),
-        quartiles.alias("q"),
-        F.max(column).alias("max"),
-        F.avg(column).alias("mean"),
-        F.stddev(column).alias("stddev"),
-    ).select(
-        "count",
-        "min",
-        F.col("q")[0].alias("p25"),
-        F.col("q")[1].alias("p50"),
-        F.col("q")[2].alias("p75"),
-        "max",
-        "mean",
-        "stddev",
-    )
+    return summary_report(column, accuracy).of(df)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from itertools import combinations
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +36,46 @@ def frequency_tables(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
+class Cells(NamedTuple):
+    """One count in a common pass: which rows (all, if None), by which keys, and a value whose sum is wanted."""
+
+    keys: dict[str, Column]
+    where: Column | None = None
+    value: Column | None = None
+
+
+def cell_counts(df: DataFrame, kinds: dict[str, Cells]) -> DataFrame:
+    """Counts of several kinds of cells from one pass: (kind, keys as text, count, n, sum).
+
+    Every row yields a cell of each kind that takes it; cells are counted in the map tasks first.
+    """
+    cells = []
+    for kind, c in kinds.items():
+        keys = F.array(*[k.cast("string") for k in c.keys.values()])
+        value = (F.lit(None) if c.value is None else c.value).cast("double")
+        cell = F.struct(F.lit(kind).alias("kind"), keys.alias("keys"), value.alias("value"))
+        cells.append(cell if c.where is None else F.when(c.where, cell))
+    rows = df.select(F.inline(F.array_compact(F.array(*cells))))
+    return rows.groupBy("kind", "keys").agg(F.count("*").alias("count"), F.count("value").alias("n"), F.sum("value").alias("sum"))
+
+
+def cells_of(counts: DataFrame, kind: str, names: dict[str, str]) -> DataFrame:
+    """The cells of one kind, with their keys under these names and types."""
+    mine = counts.filter(F.col("kind") == kind)
+    return mine.select(*[F.col("keys")[i].cast(t).alias(name) for i, (name, t) in enumerate(names.items())], "count", "n", "sum")
+
+
 def group_mean(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
     return df.groupBy(by).agg(F.avg(value).alias(name)).orderBy(by)
 
 
 def share(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and percent of all rows; the total is read from the grouped counts."""
-    counts = df.groupBy(column).agg(F.count("*").alias("count"))
+    return share_of_counts(df.groupBy(column).agg(F.count("*").alias("count")), column)
+
+
+def share_of_counts(counts: DataFrame, column: str) -> DataFrame:
+    """Percent of the sum of all counts."""
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("percent", F.col("count") * F.lit(100.0) / total).orderBy(column)
 
@@ -126,6 +160,25 @@ def exact_group_profile(df: DataFrame, by: str, value: str) -> DataFrame:
     ).orderBy(by)
 
 
+#: Size of a quantile sketch: the rank error is below ``SKETCH_ERROR`` with 99 % probability.
+SKETCH_K, SKETCH_ERROR = 400, 0.01
+
+
+def quantile_sketches(df: DataFrame, by: Iterable[str], value: str) -> DataFrame:
+    """One mergeable sketch of an integer ``value`` for each group, with its number of rows; to be stored."""
+    sketch = F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), F.lit(SKETCH_K))
+    return df.groupBy(*by).agg(F.count(value).alias("n"), sketch.alias("sketch"))
+
+
+def merged_quartiles(sketches: DataFrame, by: Iterable[str]) -> DataFrame:
+    """q1, median and q3 of coarser groups from stored sketches; no row of the table behind them is read."""
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    quartiles = [
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(name) for q, name in zip(QUARTILES, ("q1", "median", "q3"), strict=True)
+    ]
+    return merged.select(*by, "n", *quartiles)
+
+
 def exact_group_quartiles(df: DataFrame, by: str, value: str) -> DataFrame:
     """Box-plot data: exact q1, median, q3 per group (see ``exact_group_profile``)."""
     return df.groupBy(by).agg(*_exact_quartiles(df, value)).orderBy(by)
@@ -190,12 +243,23 @@ def _fill_bins(counts: DataFrame, bins: int, lo, width) -> DataFrame:
     )
 
 
-def histogram_fixed(df: DataFrame, column: str, bins: int, lo: float, hi: float) -> DataFrame:
-    """Counts in equal bins over [lo, hi]; values outside are left out, the last bin is closed."""
+def fixed_bin(column: str, bins: int, lo: float, hi: float) -> Column:
+    """Bin of a value among equal ones over [lo, hi], the last one closed; NULL outside."""
     width = (hi - lo) / bins
     index = F.least(F.floor((F.col(column) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    counts = df.filter(F.col(column).between(lo, hi)).groupBy(index.alias("bin")).agg(F.count("*").alias("count"))
-    return _fill_bins(counts, bins, F.lit(float(lo)), F.lit(width))
+    return F.when(F.col(column).between(lo, hi), index)
+
+
+def histogram_from_counts(counts: DataFrame, bins: int, lo: float, hi: float) -> DataFrame:
+    """All bins with their bounds, of the counts of those that have any."""
+    return _fill_bins(counts, bins, F.lit(float(lo)), F.lit((hi - lo) / bins))
+
+
+def histogram_fixed(df: DataFrame, column: str, bins: int, lo: float, hi: float) -> DataFrame:
+    """Counts in equal bins over [lo, hi]; values outside are left out, the last bin is closed."""
+    bin_ = fixed_bin(column, bins, lo, hi)
+    counts = df.select(bin_.alias("bin")).filter("bin IS NOT NULL").groupBy("bin").agg(F.count("*").alias("count"))
+    return histogram_from_counts(counts, bins, lo, hi)
 
 
 def histogram_range(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -205,7 +269,7 @@ def histogram_range(df: DataFrame, column: str, bins: int) -> DataFrame:
     scanned twice, which any exact data-range histogram needs. NULL and NaN
     have no place on the axis and are left out.
     """
-    df = df.filter(_drawable(column))
+    df = df.filter(drawable(column))
     ends = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("e"))
     end = ends.scalar()
     lo, hi = end.getField("lo"), end.getField("hi")
@@ -216,7 +280,7 @@ def histogram_range(df: DataFrame, column: str, bins: int) -> DataFrame:
     return _fill_bins(counts, bins, lo, width)
 
 
-def _drawable(*columns: str):
+def drawable(*columns: str):
     """Points with a position: neither NULL nor NaN."""
     ok = F.lit(True)
     for c in columns:
@@ -241,12 +305,33 @@ def density_grid(
         df = df.filter(F.col(x).between(*x_range))
     if y_range:
         df = df.filter(F.col(y).between(*y_range))
-    df = df.filter(_drawable(x, y))
+    df = df.filter(drawable(x, y))
     return df.groupBy(geo.grid_cell(x, x_size).alias("cell_x"), geo.grid_cell(y, y_size).alias("cell_y")).agg(
         F.count("*").alias("count")
     )
 
 
+#: Units of a degree, and the edge of the finest cell of a zoom pyramid in these.
+PYRAMID_UNITS, FINEST = 1_000_000, 1_000
+
+
+def density_pyramid(df: DataFrame, lon: str, lat: str, levels: int = 8) -> DataFrame:
+    """Counts in cells whose edge doubles with every level: (level, cell_x, cell_y, count).
+
+    Rows are counted once, in the finest cells, counted in whole numbers from the date line and the south pole. A coarser
+    cell is the finest one's number without its last bits, so all coarser levels are sums of the finest counts.
+    """
+    placed = df.filter(F.col(lon).between(-180, 180) & F.col(lat).between(-90, 90))
+    finest = [
+        F.expr(f"(CAST(floor({c} * {PYRAMID_UNITS}e0 + 5e-1) AS BIGINT) + {offset * PYRAMID_UNITS}) DIV {FINEST}").alias(name)
+        for c, offset, name in ((lon, 180, "x"), (lat, 90, "y"))
+    ]
+    counts = placed.select(*finest).groupBy("x", "y").agg(F.count("*").alias("n"))
+    level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
+    cells = counts.select("x", "y", "n", level).selectExpr("level", "shiftright(x, level) AS cell_x", "shiftright(y, level) AS cell_y", "n")
+    return cells.groupBy("level", "cell_x", "cell_y").agg(F.sum("n").alias("count"))
+
+
 def coordinates(df: DataFrame, key: str = "id") -> DataFrame:
     """Pickup and drop-off positions under short names."""
     return df.select(
@@ -274,6 +359,6 @@ def coordinate_grid(
         points = points.filter(F.col("lon").between(*lon_range))
     if lat_range:
         points = points.filter(F.col("lat").between(*lat_range))
-    return points.filter(_drawable("lon", "lat")).groupBy(
+    return points.filter(drawable("lon", "lat")).groupBy(
         "kind", geo.grid_cell("lon", size).alias("cell_x"), geo.grid_cell("lat", size).alias("cell_y")
     ).agg(F.count("*").alias("count"))

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +23,31 @@ CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSS
 CORRUPT = "_corrupt_record"
 
 
-def by_name(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
-    """The schema in the order of the file's header; columns it does not declare are text."""
-    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+#: A header that is not the one a reader was made for is an error.
+READ_OPTIONS = CSV_OPTIONS | {"enforceSchema": "false"}
+#: Headers read at once.
+HEADERS_AT_ONCE = 16
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a CSV table by their header; the parts of a folder may differ in their columns and the order of these.
+    Only the first line of each file is read. Files without any line are left out."""
+    # Listed paths come as addresses: escaped, and without a meaning for the signs of a pattern.
+    files = [re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(f)) for f in sorted(spark.read.text(path).inputFiles())]
+    header = inheritable_thread_target(spark)(lambda f: tuple(spark.read.options(**CSV_OPTIONS).csv(f).columns))
+    with ThreadPool(max(1, min(HEADERS_AT_ONCE, len(files)))) as pool:
+        headers = pool.map(header, files, chunksize=1)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for columns, file in zip(headers, files, strict=True):
+        if columns:
+            found.setdefault(columns, []).append(file)
+    if not found:
+        raise ValueError(f"{path} has no header")
+    return found
+
+
+def by_name(header: tuple[str, ...], schema: T.StructType, path: str) -> T.StructType:
+    """The schema in the order of a header; columns it does not declare are text."""
     missing = [f.name for f in schema if f.name not in header]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -27,15 +55,26 @@ def by_name(spark: SparkSession, path: str, schema: T.StructType) -> T.StructTyp
     return T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
 
 
+def read_by_name(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
+    """All files of a CSV table, columns by name: a reader for each header that occurs. A column named in
+    ``columnNameOfCorruptRecord`` comes last."""
+    corrupt = options.get("columnNameOfCorruptRecord")
+    parts = []
+    for header, files in files_by_header(spark, path).items():
+        found = by_name(header, schema, files[0])
+        found = found.add(corrupt, T.StringType()) if corrupt else found
+        read = spark.read.schema(found).options(**READ_OPTIONS, **options).csv(files)
+        parts.append(read.select(*schema.fieldNames(), *([corrupt] if corrupt else [])))
+    return reduce(DataFrame.union, parts)
+
+
 def parse_trips_csv(spark: SparkSession, path: str, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     """All rows of a CSV with a header, columns by name, with the line of a malformed row in ``_corrupt_record``.
 
     Whether a row is malformed shows only when all its columns are read: write the result, then use
     ``well_formed`` and ``malformed`` on what was written.
     """
-    found = by_name(spark, path, schema).add(CORRUPT, T.StringType())
-    read = spark.read.schema(found).options(**CSV_OPTIONS, columnNameOfCorruptRecord=CORRUPT)
-    return read.csv(path).select(*schema.fieldNames(), CORRUPT)
+    return read_by_name(spark, path, schema, columnNameOfCorruptRecord=CORRUPT)
 
 
 def well_formed(parsed: DataFrame) -> DataFrame:
@@ -55,12 +94,14 @@ def read_trips_csv(
     ``infer=True`` finds the types in one more pass over the file and then reads
     timestamps as wall-clock time, whatever the session zone."""
     if not infer:
-        read = spark.read.schema(by_name(spark, path, schema)).options(**CSV_OPTIONS, mode="FAILFAST")
-        return read.csv(path).select(*schema.fieldNames())
-    found = spark.read.options(**CSV_OPTIONS).option("inferSchema", True).csv(path).schema
-    clock = T.TimestampNTZType()
-    types = [T.StructField(f.name, clock if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in found]
-    return spark.read.schema(T.StructType(types)).options(**CSV_OPTIONS).csv(path)
+        return read_by_name(spark, path, schema, mode="FAILFAST")
+    parts = []
+    for files in files_by_header(spark, path).values():
+        found = spark.read.options(**CSV_OPTIONS).option("inferSchema", True).csv(files).schema
+        clock = T.TimestampNTZType()
+        types = [T.StructField(f.name, clock if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in found]
+        parts.append(spark.read.schema(T.StructType(types)).options(**READ_OPTIONS).csv(files))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_trips_parquet(spark: SparkSession, path: str) -> DataFrame:
