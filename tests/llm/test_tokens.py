@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import defaultdict
 
@@ -11,8 +12,10 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from wayfare.llm.byte_bpe import encode_decode
+from tests.llm import brute
+from wayfare.llm.byte_bpe import ENCODE_LONG, RecursiveBpe, encode_decode
 from wayfare.llm.packing import LevelPacker, pack
+from wayfare.llm.queries import QUERIES
 from wayfare.llm.token_counts import token_counts
 from wayfare.llm.vocabulary import read_ranks
 
@@ -89,3 +92,36 @@ def test_empty_tables(no_docs):
     assert token_counts(no_docs, WORDS).count() == 0
     assert pack(no_docs, WORDS).count() == 0
     assert encode_decode(no_docs, BYTES, public_tokenizers.PATTERN).count() == 0
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(BYTES), special_tokens={})
+
+
+def test_long_words_equal_the_library(encoding):
+    """Several places in a round: runs of one letter or sign, and words of few or all letters, long and short."""
+    random, own = np.random.default_rng(8), RecursiveBpe(BYTES)
+    words = [b"a" * 200_000, b"=" * 100_001, b"ab" * 20_000, b"abcdefgh" * 3000, bytes(random.integers(97, 123, 3000, dtype=np.uint8))]
+    for letters in (b"ab", b"aeinst", b"=-", b"the ", bytes(range(97, 123)), bytes(range(256))):
+        words += [bytes(random.choice(list(letters), n).astype(np.uint8)) for n in random.integers(1, 90, 25)]
+    words = list(dict.fromkeys(words))
+    want = [(np.array(encoding._encode_single_piece(w), "<u4").tobytes(), w) for w in words]
+    assert own.encode(words, ENCODE_LONG) == want
+    assert own.encode_all(words) == want
+
+
+def test_byte_bpe_query_equals_the_library_and_hashlib(spark, encoding):
+    sf_dir = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: tuple(r) for r in QUERIES["op4_byte_bpe"](spark, sf_dir).collect()}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        ids = np.array(encoding.encode_ordinary(r["text"] or ""), "<u4")
+        hashes = [hashlib.sha256(x).hexdigest() for x in (ids.tobytes(), (r["text"] or "").encode())]
+        assert got[r["doc_id"]] == (r["doc_id"], len(ids), *hashes)
+
+
+def test_substring_query_equals_plain_windows_and_hashlib(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    want = sorted((d, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for d, n, gone, kept in brute.without_repeats(rows))
+    assert sorted(map(tuple, QUERIES["op10_substrings"](spark, sf_dir).collect())) == want

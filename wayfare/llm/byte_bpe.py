@@ -7,7 +7,12 @@ such a pair has reached its fixpoint and leaves. Ordered aggregation then gives
 with the tokens' bytes, the decoded word. As in the library, a pre-token that is a token itself is
 not merged.
 
-Null text: as empty. Repeated rows: one result each. Other columns are ignored.
+Words of ``LONG`` bytes and more (encoded data, rulers, scripts without spaces) go to a query that contracts all places
+of the pair in a round, as far as that gives the same ids; its rounds grow with the number of different ranks that the word meets, not
+with its length. A longer word than ``QUERY_BYTES`` is a query of its own.
+
+Null or empty text: no ids. Very long texts are coded whole, and have to fit into a task. Repeated rows: one result each. An
+empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +30,17 @@ from wayfare.llm.vocabulary import STORE, ByteChunks, read_ranks
 #: Bytes of words that one recursive query works on.
 QUERY_BYTES = 1 << 19
 
-ENCODE = """
+#: Words from so many bytes on go to the query that contracts more than one pair of a word in a round.
+LONG = 256
+
+FOUND = """
+SELECT s.word, list(s.tok ORDER BY s.place) AS ids, unhex(string_agg(t.hex, '' ORDER BY s.place)) AS bytes
+FROM step s JOIN tokens t USING (tok)
+WHERE NOT live
+GROUP BY s.word
+"""
+
+ENCODE = f"""
 WITH RECURSIVE step AS (
   SELECT word, place, tok, true AS live FROM start
   UNION ALL
@@ -50,11 +65,50 @@ WITH RECURSIVE step AS (
   )
   WHERE best_place IS NULL OR place_before IS DISTINCT FROM best_place
 )
-SELECT s.word, list(s.tok ORDER BY s.place) AS ids, string_agg(t.hex, '' ORDER BY s.place) AS bytes
-FROM step s JOIN tokens t USING (tok)
-WHERE NOT live
-GROUP BY s.word
-"""
+{FOUND}"""
+
+# A round contracts, from the left, the places of the word's lowest rank that do not overlap. Overlapping ones follow each
+# other without a gap: of such a run every other one is taken. Where a new token has a pair of a lower rank with its neighbour,
+# which would come first, the round ends for the word.
+ENCODE_LONG = f"""
+WITH RECURSIVE step AS (
+  SELECT word, place, tok, true AS live FROM start
+  UNION ALL
+  SELECT word, place, CASE WHEN hit THEN best ELSE tok END, best IS NOT NULL
+  FROM (
+    WITH pair AS MATERIALIZED (
+      SELECT p.*, m.made
+      FROM (
+        SELECT word, place, tok, lead(word) OVER w AS next_word, lead(tok) OVER w AS next_tok, row_number() OVER w AS n,
+          CASE WHEN lag(word) OVER w = word THEN lag(tok) OVER w END AS before,
+          CASE WHEN lead(word, 2) OVER w = word THEN lead(tok, 2) OVER w END AS after
+        FROM step WHERE live WINDOW w AS (ORDER BY place)
+      ) p
+      LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next_tok AND p.next_word = p.word
+    ),
+    run AS MATERIALIZED (
+      SELECT p.word, p.place, p.tok, p.n, p.before, p.after, b.made AS best, coalesce(p.made = b.made, false) AS there
+      FROM pair p LEFT JOIN (SELECT word, min(made) AS made FROM pair WHERE made IS NOT NULL GROUP BY word) b USING (word)
+    ),
+    ending AS (
+      SELECT word, min(n) AS n
+      FROM (
+        SELECT r.word, r.n FROM run r JOIN merges m ON m.a = r.before AND m.b = r.best AND m.made < r.best WHERE r.there
+        UNION ALL SELECT r.word, r.n FROM run r JOIN merges m ON m.a = r.best AND m.b = r.after AND m.made < r.best WHERE r.there
+        UNION ALL SELECT r.word, r.n FROM run r JOIN merges m ON m.a = r.best AND m.b = r.best AND m.made < r.best WHERE r.there
+      )
+      GROUP BY word
+    ),
+    taken AS (
+      SELECT r.*, r.there AND (r.n - coalesce(max(CASE WHEN NOT r.there THEN r.n END) OVER (ORDER BY r.n), 0)) % 2 = 1
+        AND (e.n IS NULL OR r.n <= e.n) AS hit
+      FROM run r LEFT JOIN ending e USING (word)
+    )
+    SELECT *, lag(hit) OVER (ORDER BY n) AS gone FROM taken
+  )
+  WHERE gone IS DISTINCT FROM true
+)
+{FOUND}"""
 
 
 class RecursiveBpe:
@@ -67,39 +121,52 @@ class RecursiveBpe:
         self.ranks = ranks
         self.con = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "temp_directory": ""})
         merges = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-        a, b, made = (pa.array(c, pa.int32()) for c in zip(*merges, strict=True))
+        a, b, made = (np.array(c, np.int32) for c in zip(*merges, strict=True))
         self.con.register("m", pa.table({"a": a, "b": b, "made": made}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM m")
         self.con.register("t", pa.table({"tok": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]}))
         self.con.execute("CREATE TABLE tokens AS SELECT * FROM t")
-        self.byte_rank = [ranks[bytes([i])] for i in range(256)]
+        self.byte_rank = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
-    def encode(self, words: list[bytes]) -> list[tuple[list[int], bytes]]:
+    def encode(self, words: list[bytes], query: str = ENCODE) -> list[tuple[bytes, bytes]]:
         """Ids and decoded bytes of each word; none is empty."""
-        word, place, tok = [], [], []
-        for k, w in enumerate(words):
-            symbols = [self.ranks[w]] if w in self.ranks else list(map(self.byte_rank.__getitem__, w))
-            word.extend([k] * len(symbols))
-            place.extend(range(k << 32, (k << 32) + len(symbols)))
-            tok.extend(symbols)
-        start = pa.table({"word": pa.array(word, pa.int32()), "place": pa.array(place, pa.int64()), "tok": pa.array(tok, pa.int32())})
+        ranked = [self.ranks.get(w) for w in words]
+        sizes = np.array([len(w) if r is None else 1 for w, r in zip(words, ranked, strict=True)])
+        raw = b"".join([w if r is None else w[:1] for w, r in zip(words, ranked, strict=True)])
+        tok, first = self.byte_rank[np.frombuffer(raw, np.uint8)], np.cumsum(sizes) - sizes
+        for k, r in enumerate(ranked):
+            if r is not None:
+                tok[first[k]] = r
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        start = pa.table({"word": word, "place": np.arange(len(tok)), "tok": tok})
         self.con.register("start", start)
-        found = self.con.sql(ENCODE).to_arrow_table()
+        found = self.con.sql(query).to_arrow_table().combine_chunks()
+        lists = found["ids"].chunk(0)
+        ends = np.asarray(lists.offsets) * 4
+        ids, ends = np.asarray(lists.values).astype("<u4").tobytes(), ends.tolist()
         out: list = [None] * len(words)
-        for k, ids, text in zip(*(found[n].to_pylist() for n in ("word", "ids", "bytes")), strict=True):
-            out[k] = (np.array(ids, "<u4").tobytes(), bytes.fromhex(text))
+        for k, n, text in zip(found["word"].to_pylist(), range(len(words)), found["bytes"].to_pylist(), strict=True):
+            out[k] = (ids[ends[n] : ends[n + 1]], text)
         return out
 
     def encode_all(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """The same in queries of bounded size."""
-        out, some, size = [], [], 0
-        for w in words:
-            some.append(w)
-            size += len(w)
-            if size >= QUERY_BYTES:
-                out += self.encode(some)
-                some, size = [], 0
-        return out + (self.encode(some) if some else [])
+        """The same in queries of bounded size; a longer word is a query of its own."""
+        found: dict[bytes, tuple[bytes, bytes]] = {}
+        for query, mine in (
+            (ENCODE, [w for w in words if len(w) < LONG]),
+            (ENCODE_LONG, [w for w in words if len(w) >= LONG]),
+        ):
+            some: list[bytes] = []
+            size = 0
+            for w in mine:
+                if some and size + len(w) > QUERY_BYTES:
+                    found.update(zip(some, self.encode(some, query), strict=True))
+                    some, size = [], 0
+                some.append(w)
+                size += len(w)
+            if some:
+                found.update(zip(some, self.encode(some, query), strict=True))
+        return [found[w] for w in words]
 
 
 class Codec:
