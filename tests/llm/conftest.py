@@ -5,7 +5,7 @@ import random
 import pytest
 
 #: Columns whose names the operators use inside.
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node long, start int, n int, places string, line string, score double, kept boolean, block long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node long, start int, n int, places string, line string, score double, kept boolean, block long, _id long, _key string, _drop int, _lines string, _places long, _firsts array<int>, carried_0 long, n_lines long"
 
 
 def _prose(seed: int, n: int) -> str:
@@ -34,7 +34,7 @@ def texts() -> list[tuple]:
 
 @pytest.fixture(scope="session")
 def docs(spark, texts):
-    rows = [(i, t, "en", "s", len(t) if t else None, 1, 2, 3, "p", "l", 0.5, True, 4) for i, t in texts]
+    rows = [(i, t, "en", "s", len(t) if t else None, 1, 2, 3, "p", "l", 0.5, True, 4, 5, "k", 6, "l", 7, [8], 9, 10) for i, t in texts]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 

@@ -41,6 +41,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """The documents with all columns but doc_id and text under names that no step uses; the names come back by position."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"carried_{i}" for i, c in enumerate(docs.columns)])
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read again: later steps depend on no executor."""
     path = scratch.run_dir(df.sparkSession, label)

@@ -12,7 +12,8 @@ Counts combine in the map tasks, and no line, leaf or template is gathered in on
 
 A column n_lines or n_dropped of the input is replaced. Null text: stays null, has no lines. Empty lines and lines of white space stay. A null id is a document of its own
 for each text; it is never the smallest, unless there is no other. Repeated rows get the same
-result. Other columns are carried along.
+result. Very long texts: every line of them counts; a text's lines are one array while its own row is made. An empty table
+gives an empty one. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,9 +21,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.llm import common
 from wayfare.llm.common import saved
 
 DEPTH, MIN_DOCS, SPACES = 3, 5, " \t\r\f\x0b"
+#: Tasks that the lines of one template are dealt to.
+SALTS = 16
 
 
 def _text_key() -> Column:
@@ -67,13 +71,18 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .select("doc_id", "text_key", "pos", "leaf", "template")
     )
     templates = saved(templates, "templates")
-    recurring = _shared(templates, ["leaf", "template"], min_docs)
-    later = templates.join(recurring, ["leaf", "template"]).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+    # one template may be on a large share of all lines: these meet copies of its row, by the text they are of
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    recurring = _shared(templates, ["leaf", "template"], min_docs).select("*", salts)
+    salted = templates.withColumn("salt", F.expr(f"CAST(pmod(text_key, {SALTS}) AS INT)"))
+    later = salted.join(recurring, ["leaf", "template", "salt"]).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
     return later.select("doc_id", "text_key", "pos")
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents with their text less the recurring lines, and the number of lines before and dropped."""
+    docs = docs.drop("n_lines", "n_dropped")
+    names, docs = docs.columns, common.carried(docs)
     dropped = recurring_lines(docs.select("doc_id", "text"), min_docs).groupBy("doc_id", "text_key")
     dropped = dropped.agg(F.collect_set("pos").alias("_drop"))
     dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_drop")
@@ -82,12 +91,11 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
     kept = F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n")
     count = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return found.withColumn("_lines", lines).select(
-        *(F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in rest),
-        count("_lines").alias("n_lines"),
-        count("_drop").alias("n_dropped"),
+    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept)
+    result = found.withColumn("_lines", lines).select(
+        *(text.alias("text") if c == "text" else F.col(c) for c in docs.columns), count("_lines"), count("_drop")
     )
+    return result.toDF(*names, "n_lines", "n_dropped")
 
 
 SQL = f"""
@@ -133,4 +141,5 @@ SELECT e.doc_id, count(*) AS n_lines, count(d.pos) AS n_dropped,
   sha256(coalesce(string_agg(e.line, chr(10) ORDER BY e.pos) FILTER (WHERE d.pos IS NULL), '')) AS kept_sha256
 FROM every e LEFT JOIN dropped d ON e.doc_id = d.doc_id AND e.pos = d.pos
 GROUP BY e.doc_id
+UNION ALL SELECT doc_id, 0, 0, sha256('') FROM documents WHERE text IS NULL
 """

@@ -14,7 +14,9 @@ largest linked part are compared with all others. So many near copies of one tex
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Fewer than five words: the whole sequence is the one shingle.
 Null text or no words: the empty set, linked with nothing. Rows without an id take no part and are kept with a null
-component. Of repeated ids each row is linked by its own text. Other columns are ignored.
+component. Of repeated ids each row is linked by its own text. Very long texts are one set each, whole, and have to fit
+into a task. Ties (equal ids or texts) go to the smallest id, then to one row. An empty table gives no rows. Other columns are
+ignored, and carried along by ``one_of_each`` whatever their names.
 """
 
 from __future__ import annotations
@@ -273,6 +275,7 @@ def near_documents(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document, with all its columns, of every group of near copies; equal rows become one."""
+    names, docs = docs.columns, common.carried(docs)
     kept = near_documents(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_key"))
-    return docs.join(kept.distinct(), same).dropDuplicates(["_id", "_key"]).select(docs.columns)
+    return docs.join(kept.distinct(), same).dropDuplicates(["_id", "_key"]).select(docs.columns).toDF(*names)

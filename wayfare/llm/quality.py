@@ -11,7 +11,8 @@ Labels, language, source and id are no features.
 
 Null text: as empty; it is scored by its form alone. Null n_chars: a level of its own. Rows without a quality do not train;
 a document with several labels trains with the lowest. Without any labels every score is 0.5. Repeated rows are
-scored each. Other columns are ignored.
+scored each; ties of the hash go to the smaller id. Very long texts count whole. An empty table gives no rows. Other columns are
+ignored, and carried along by ``good_documents``.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ by their own words, so that no shard gathers them. Shards go to tasks, each with
 a broadcast of all would grow with the corpus. Word codes have 32 bits, a segment at least 20 words.
 
 Documents are ordered by id; rows with one id by a hash of their text, equal rows are one document. Rows without an id take no part
-and stay as they are. Null text: no words. Other columns are ignored.
+and stay as they are. Null or empty text: no words. Very long texts are judged whole; a text has to fit into a task. An empty
+table gives an empty one. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -213,6 +214,7 @@ def remove_repeats(docs: DataFrame, layout: bool = True) -> DataFrame:
     """
     common.prepared(docs.sparkSession)
     docs = docs.drop("n_words", "n_removed")
+    names, docs = docs.columns, common.carried(docs)
     keyed = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "xxhash64(text) AS text_key", "text")
     places, firsts = repeated_windows(keyed)
     spans = places.join(firsts, ["doc_id", "text_key"], "left").select(
@@ -223,4 +225,4 @@ def remove_repeats(docs: DataFrame, layout: bool = True) -> DataFrame:
     )
     joined = docs.join(spans, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_words long, n_removed long").fields])
-    return joined.drop("_id", "_key").mapInArrow(_without_repeats(layout), schema)
+    return joined.drop("_id", "_key").mapInArrow(_without_repeats(layout), schema).toDF(*names, "n_words", "n_removed")
