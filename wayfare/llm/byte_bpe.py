@@ -174,33 +174,34 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         self.bpe, self.chunks = RecursiveBpe(path), ByteChunks(pattern)
-        self.ids: dict[str, bytes] = {}
-        self.decoded: dict[str, bytes] = {}
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.coded: dict[str, tuple[bytes, bytes]] = {}
+        self.words: dict[str, tuple[bytes, bytes]] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        parts = [[p.encode() for p in self.chunks.pattern.findall(c)] for c in chunks]
+        parts = list(map(self.chunks.pattern.findall, chunks))
         words = list(set().union(*parts) - self.words.keys())
         if len(self.words) + len(words) > STORE // 2:
             self.words.clear()
             words = list(set().union(*parts))
         found = self.words
-        found.update(zip(words, self.bpe.encode_all(words), strict=True))
+        found.update(zip(words, self.bpe.encode_all([w.encode() for w in words]), strict=True))
         for c, ps in zip(chunks, parts, strict=True):
-            self.ids[c] = b"".join([found[p][0] for p in ps])
-            self.decoded[c] = b"".join([found[p][1] for p in ps])
+            self.coded[c] = found[ps[0]] if len(ps) == 1 else _joined([found[p] for p in ps])
 
     def texts(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids and decoded bytes of each text."""
         cut = [self.chunks.cut(t or "") for t in texts]
-        new = set().union(*cut) - self.ids.keys()
-        if len(self.ids) + len(new) > STORE // 2:
-            self.ids.clear()
-            self.decoded.clear()
+        new = set().union(*cut) - self.coded.keys()
+        if len(self.coded) + len(new) > STORE // 2:
+            self.coded.clear()
             new = set().union(*cut)
         if new:
             self._learn(list(new))
-        return [(b"".join(map(self.ids.__getitem__, c)), b"".join(map(self.decoded.__getitem__, c))) for c in cut]
+        return [_joined(list(map(self.coded.__getitem__, c))) for c in cut]
+
+
+def _joined(parts: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
