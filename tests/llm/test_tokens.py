@@ -40,8 +40,9 @@ def test_token_counts(docs, texts, library):
     assert sorted(map(tuple, token_counts(docs, WORDS).collect()), key=key) == sorted(want, key=key)
 
 
-def test_packing_covers_every_token(docs, texts, library):
-    rows = pack(docs, WORDS).collect()
+@pytest.mark.parametrize("most_open", [1, 8, 512])
+def test_packing_covers_every_token(docs, texts, library, most_open):
+    rows = pack(docs, WORDS, most_open=most_open).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
         if r["doc_id"] is not None:
@@ -65,8 +66,10 @@ def test_packing_covers_every_token(docs, texts, library):
         assert at <= 4096 and at & (at - 1) == 0  # full, or a power of two
 
 
-def test_level_is_the_sum_of_squares_choice():
-    packer = LevelPacker(16, 0)
+@pytest.mark.parametrize("most_open", [8, 512])
+def test_level_is_the_sum_of_squares_choice(most_open):
+    """Before every placement, also where windows were filled up because too many were open."""
+    packer = LevelPacker(16, 0, most_open)
     random = np.random.default_rng(1)
     for size in random.integers(1, 16, 300):
         counts = packer.level.copy()
@@ -79,6 +82,28 @@ def test_level_is_the_sum_of_squares_choice():
                 best[int(level)] = int((after[:16] ** 2).sum())
         assert best[packer.best_level(int(size))] == min(best.values())
         packer.add(1, bytes(4 * int(size)))
+        assert packer.n_open == packer.level.sum() == sum(map(len, packer.open.values())) <= most_open
+
+
+def test_filled_up_windows_are_full_and_keep_the_rest():
+    packer = LevelPacker(16, 0, 8)
+    random = np.random.default_rng(2)
+    ids = [np.arange(1000 * k, 1000 * k + n, dtype="<u4").tobytes() for k, n in enumerate(random.integers(9, 14, 200))]
+    for doc, x in enumerate(ids):  # no two fit into one window, so only filling up closes any
+        packer.add(doc, x)
+    closed = len({r[5] for r in packer.rows})
+    assert closed >= sum(map(len, ids)) // 64 - 9
+    packer.flush()
+    ends, parts = defaultdict(int), defaultdict(list)
+    for doc, start, n, crc, total, sequence, offset in packer.rows:
+        assert crc == zlib.crc32(ids[doc][4 * start : 4 * (start + n)]) and total == len(ids[doc]) // 4
+        assert offset == ends[sequence]
+        ends[sequence] += n
+        parts[doc].append((start, n))
+    assert sorted(ends.values())[9:] == [16] * (len(ends) - 9) and all(n & (n - 1) == 0 for n in ends.values())
+    for doc, cut in parts.items():
+        cut.sort()
+        assert [s for s, _ in cut] == [0, *np.cumsum([n for _, n in cut])[:-1]] and sum(n for _, n in cut) == len(ids[doc]) // 4
 
 
 def test_byte_bpe(docs, texts):
