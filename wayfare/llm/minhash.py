@@ -4,7 +4,8 @@ A document is the set of its 5-word shingles (64-bit hashes). A first permutatio
 ``CIRCLE`` places; coordinate k of the signature is the smallest value of a second permutation, shifted by k, at the
 occupied places. The shifts of one place lie side by side, so a shingle's values for all coordinates are one
 slice. ``BANDS`` bands of ``ROWS`` coordinates: a pair with similarity 0.75 shares none of them with probability
-(1 - 0.75^3)^24, about 2 in a million.
+(1 - 0.75^5)^48, about 2 in a million, one with similarity 0.2 any of them with 0.015. So documents that
+share boilerplate alone are seldom candidates.
 
 Documents with equal sets are one node. Nodes that share a band are candidates; their connected
 components are the only places where links can be. In these, links are confirmed on the full sets, in tiles of bounded
@@ -33,7 +34,7 @@ from wayfare.llm.common import saved
 from wayfare.llm.components import components
 from wayfare.llm.subspace_join import Forest
 
-SHINGLE, BANDS, ROWS = 5, 24, 3
+SHINGLE, BANDS, ROWS = 5, 48, 5
 CIRCLE, SEED = 1 << 21, 7
 #: Shingles in one tile, and documents of a shingle from which its pairs are counted by a matrix product.
 TILE, COMMON = 400_000, 64
