@@ -71,6 +71,20 @@ def without_repeats(docs: list[tuple], window: int = 20) -> list[tuple]:
     return [out[d] if d is not None else (None, len(words(t)), 0, b" ".join(words(t)).decode()) for d, t in docs]
 
 
+def without_known(docs: list[tuple], reference: list, window: int = 20) -> list[tuple]:
+    """(doc_id, words, removed, kept text) of rows (doc_id, text) beside the reference's texts."""
+    known = {tuple(w[s : s + window]) for w in map(words, reference) for s in range(len(w) - window + 1)}
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        gone = [False] * len(w)
+        for s in range(len(w) - window + 1):
+            if tuple(w[s : s + window]) in known:
+                gone[s : s + window] = [True] * window
+        out.append((doc, len(w), sum(gone), b" ".join(x for x, g in zip(w, gone, strict=True) if not g).decode()))
+    return out
+
+
 def ppm(docs: list[tuple], order: int) -> list[float]:
     """Scores less the class mark, of rows (text, trains, class)."""
     counts: dict = defaultdict(Counter)

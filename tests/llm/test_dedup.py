@@ -10,8 +10,9 @@ import pytest
 
 from tests.llm import brute
 from tests.llm.test_tokens import key
-from wayfare.llm import minhash
+from wayfare.llm import known_passages, minhash, subspace_join
 from wayfare.llm.components import components
+from wayfare.llm.known_passages import remove_known
 from wayfare.llm.line_templates import SQL, drop_recurring_lines
 from wayfare.llm.minhash import near_documents, one_of_each
 from wayfare.llm.substrings import remove_repeats
@@ -79,6 +80,35 @@ def test_tiles_are_bounded_by_documents(spark, monkeypatch):
     assert len(tiles) == 3 and max(tiles) <= 2 * 2 * 5_000 // minhash.LEAST
 
 
+def _bands_of(sets):
+    return minhash.band_keys(minhash.signatures(np.concatenate(sets), np.array([len(x) for x in sets])))
+
+
+def test_planted_pairs_near_the_threshold_meet():
+    """2,000 pairs of similarity 0.75 to 0.80, of short and long sets."""
+    random = np.random.default_rng(21)
+    sets = []
+    for _ in range(2000):
+        n, similarity = int(random.integers(40, 400)), random.uniform(0.75, 0.80)
+        both = int(np.ceil(similarity * 2 * n / (1 + similarity)))
+        own = random.integers(0, 2**63, 2 * n - both, dtype=np.uint64)
+        sets += [own[:n], np.concatenate([own[:both], own[n:]])]
+        assert 0.75 <= both / (2 * n - both) < 0.83
+    keys = _bands_of(sets)
+    assert (keys[::2] == keys[1::2]).any(axis=1).mean() >= 0.999
+
+
+def test_shared_boilerplate_alone_makes_few_candidates():
+    """20,000 documents with a fifth of their shingles in common, and nothing else."""
+    random = np.random.default_rng(22)
+    common_part = random.integers(0, 2**63, 30, dtype=np.uint64)
+    sets = [np.concatenate([common_part, random.integers(0, 2**63, 120, dtype=np.uint64)]) for _ in range(20_000)]
+    keys = _bands_of(sets)
+    _, at, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    meets = (counts[at].reshape(keys.shape) > 1).any(axis=1)
+    assert meets.mean() < 0.04  # bands of three rows: a fifth
+
+
 def test_one_of_each_keeps_columns(docs, texts):
     kept = one_of_each(docs.union(docs))
     assert kept.columns == docs.columns
@@ -98,6 +128,46 @@ def test_frequent_anchors_and_equal_rows(docs, texts, monkeypatch):
     assert sorted(map(tuple, got), key=key) == sorted(want + want, key=key)
 
 
+def test_removed_repeats_of_many_shards(docs, texts, monkeypatch):
+    monkeypatch.setattr("wayfare.llm.substrings.SHARD", 200)
+    got = remove_repeats(docs, layout=False).select("doc_id", "n_words", "n_removed", "text").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute.without_repeats(texts), key=key)
+
+
+@pytest.fixture(scope="module")
+def reference(texts):
+    """Texts of which documents hold all, a stretch, or 19 words; overlapping, repeated, short, empty and null ones."""
+    w = [t.split() if t else [] for _, t in texts]
+    rows = [texts[7][1], texts[7][1], " ".join(w[9][5:40]), " ".join(w[9][30:70]), " ".join(w[11][3:22]), " ".join([*w[1][4:24], "end"])]
+    return [*rows, " ".join(w[-3][9000:13000]), "a " * 30, "one two three", "", None]
+
+
+@pytest.mark.parametrize(("piece", "shard", "at_once"), [(10_000, 100_000, 4), (7, 60, 3)])
+def test_known_passages(spark, docs, texts, reference, piece, shard, at_once, monkeypatch):
+    for name, value in (("PIECE", piece), ("SHARD", shard), ("AT_ONCE", at_once)):
+        monkeypatch.setattr(known_passages, name, value)
+    if shard == 60:
+        reference = [" ".join(r.split()[:400]) if r else r for r in reference]
+    table = spark.createDataFrame([(r,) for r in reference], "text string")
+    got = remove_known(docs.union(docs), table, layout=False)
+    assert got.columns == [*docs.columns, "n_words", "n_removed"]
+    want = brute.without_known(texts, reference)
+    assert sum(r[2] > 0 for r in want) > 5
+    assert sorted(map(tuple, got.select("doc_id", "n_words", "n_removed", "text").collect()), key=key) == sorted(want + want, key=key)
+
+
+def test_known_passages_keep_the_layout_and_refuse_more_than_the_bound(spark, docs, no_docs, texts, reference):
+    table = spark.createDataFrame([(r,) for r in reference], "text string")
+    rows = {r["doc_id"]: r for r in remove_known(docs, table).filter("doc_id IS NOT NULL").collect()}
+    for (doc, text), want in zip(texts, brute.without_known(texts, reference), strict=True):
+        if doc is not None:
+            assert rows[doc]["text"] == text if not want[2] else rows[doc]["text"].split() == want[3].split()
+    assert remove_known(no_docs, table).count() == 0
+    assert remove_known(docs, no_docs).agg({"n_removed": "sum"}).first()[0] == 0
+    with pytest.raises(ValueError, match="more than the 100 "):
+        remove_known(docs, table, most_words=100)
+
+
 def test_layout_stays(docs, texts):
     rows = {r["doc_id"]: r for r in remove_repeats(docs).filter("doc_id IS NOT NULL").collect()}
     for doc, text in texts:
@@ -133,7 +203,10 @@ def vectors():
     return [*rows, (206, [1.0, 0.0]), (207, [1.0, 0.01]), (None, [1.0, 0.0])]
 
 
-def test_near_vectors(spark, vectors):
+@pytest.mark.parametrize(("cell", "homes", "guests"), [(4096, 8192, 32768), (4, 5, 7)])
+def test_near_vectors(spark, vectors, cell, homes, guests, monkeypatch):
+    for name, value in (("CELL", cell), ("HOMES", homes), ("GUESTS", guests)):
+        monkeypatch.setattr(subspace_join, name, value)
     got = near_vectors(spark.createDataFrame([(i, v, 1, "x") for i, v in vectors], "vec_id long, embedding array<float>, n int, other string"))
     ok = {i: np.array(v, np.float64) for i, v in vectors if i is not None and v and None not in v and np.isfinite(v).all() and any(v)}
     cos = lambda a, b: len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.95

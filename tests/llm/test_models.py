@@ -15,7 +15,9 @@ from wayfare.llm.queries import ORACLE_SQL, QUERIES
 from wayfare.llm.top_k import top_k
 
 
-def test_ppm_equals_a_dictionary_trie(spark, docs, texts):
+@pytest.mark.parametrize("block", [1 << 25, 20_000])
+def test_ppm_equals_a_dictionary_trie(spark, docs, texts, block, monkeypatch):
+    monkeypatch.setattr(ppm, "BLOCK", block)
     got = {r["doc_id"]: r for r in ppm.score_documents(docs).filter("doc_id IS NOT NULL").collect()}
     train = [zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2 for d, _ in texts]
     shares = ppm.histograms(*common.buffers(pa.array([t for _, t in texts])))
@@ -93,7 +95,9 @@ def test_quality_of_odd_texts(docs, no_docs, spark):
     assert {r["score"] for r in quality.score_quality(docs.drop("n_chars"), unfitted).collect()} == {0.5}
 
 
-def test_top_k(spark):
+@pytest.mark.parametrize("block", [2048, 2])
+def test_top_k(spark, block, monkeypatch):
+    monkeypatch.setattr("wayfare.llm.top_k.BLOCK", block)
     random = np.random.default_rng(5)
     rows = [(k, random.standard_normal(6).astype(np.float32).tolist()) for k in range(250)]
     rows += [(300, rows[0][1]), (301, rows[0][1]), (302, rows[0][1]), (400, None), (500, [float("nan")] * 6), (600, [1.0]), (700, [2.0]), (None, rows[0][1])]

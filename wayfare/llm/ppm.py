@@ -21,8 +21,8 @@ their counts and code lengths back, and adds them up for each document.
 
 The base score is that of the contract: log10((c + 1) / (N + 1 * (V + 1))) summed over words and end.
 Null text: as empty, the end only. Training are documents whose crc32(doc_id as text) mod 7 is not 2; a null
-id counts as an empty text. Repeated rows train and are scored each. Other columns are ignored. Words are told apart
-by 64-bit hashes.
+id counts as an empty text. Repeated rows train and are scored each. Very long texts are scored whole, and have to fit into a task. Of
+equally near classes the first counts. An empty table gives no rows. Other columns are ignored. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ homes and guests, so that no task holds an unbounded group.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Vectors of different
 dimensions do not link. Floats stay floats; components of any other type are taken as doubles. A repeated row is a vector of its own. Rows without an id keep a null id and
-link with nothing.
+link with nothing. A cosine of exactly the threshold links. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -151,7 +151,7 @@ def removed_words(n_words: int, places: list[dict], firsts: list[dict]) -> np.nd
     return np.cumsum(change[:-1]) > 0
 
 
-def _kept_text(text: bytes, gone: np.ndarray, layout: bool) -> bytes:
+def kept_text(text: bytes, gone: np.ndarray, layout: bool) -> bytes:
     """The words that stay, joined by single spaces; with layout, whole stretches of the text as they are."""
     if not layout:
         return b" ".join([w for w, g in zip(text.split(), gone.tolist(), strict=True) if not g])
@@ -173,7 +173,7 @@ def _without_repeats(layout: bool):
                     gone = removed_words(n, places or [], firsts or [])
                     n_words.append(n)
                     n_removed.append(int(gone.sum()))
-                    kept.append(None if text is None and layout else _kept_text(raw, gone, layout).decode())
+                    kept.append(None if text is None and layout else kept_text(raw, gone, layout).decode())
                 names = [c for c in part.schema.names if c not in ("_places", "_firsts")]
                 columns = [pa.array(kept, pa.string()) if c == "text" else part[c] for c in names]
                 columns += [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]

@@ -5,7 +5,8 @@ among the neighbouring pairs of every piece, merges that pair at all its places
 once, and looks up only the pairs that the merges have touched. A piece leaves when none of its
 pairs has a rank; the symbols that survive are its tokens.
 
-Null text: as empty, 0 tokens. A repeated row or id: one result for each row. Other columns are ignored.
+Null or empty text: 0 tokens. A repeated row or id: one result for each row. Of equal ranks in a piece all places merge, from the
+left. Very long texts are counted whole, and have to fit into a task. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ not below it. Queries come in blocks of bounded size, so what goes to the tasks
 Vectors that are null or hold null or non-finite components take no part, nor do rows without an id.
 Vectors of different dimensions have no score with each other. A repeated row is a candidate each time, but no
 candidate of the query with its id; of repeated queries the first, in the order of the vectors, counts.
+Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
