@@ -8,12 +8,10 @@ import __spark_entry__ as entry
 from tests.compare import compare_tables
 from wayfare.catalogue.oracle import ORACLE_SQL as SQL
 from wayfare.catalogue.queries import QUERIES
-ROWS_ONLY = {"pickup_clusters", "model_optimized", "grid_scores", "model_comparison", "best_model"}
 
 
-def test_every_query_has_sql_but_the_iterative_ones():
-    assert set(QUERIES) - set(SQL) == ROWS_ONLY
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(SQL) == set(QUERIES)
     assert set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
