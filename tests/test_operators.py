@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 import numpy as np
@@ -272,3 +273,31 @@ def test_raw_reports_equal_the_reports_one_by_one(spark, trips):
     for name, table in single.items():
         assert [c.name for c in table.schema] == list(found[name][0].__fields__), name
         assert cells(found[name]) == cells(table.collect()), name
+
+
+def spread_values(spark, kind: str, groups: int = 1):
+    """Far more different values in a group than a sketch keeps, in no order."""
+    value = F.pmod(F.col("id") * 7919, F.lit(400_009)) * 3 - 500_000
+    return spark.range(0, 400_009, 1, 8).select((F.col("id") % groups).alias("h"), value.cast(kind).alias("d"))
+
+
+@pytest.mark.parametrize("kind", ["int", "double"])
+def test_value_summary_is_exact_beyond_the_size_of_a_sketch(spark, kind):
+    [row] = profile.value_summary(spread_values(spark, kind), "d").collect()
+    ranks = [math.ceil(400_009 * p) - 1 for p in (0.25, 0.5, 0.75)]
+    assert [row.p25, row.p50, row.p75] == [3 * k - 500_000 for k in ranks]
+    assert (row["count"], row.min, row.max) == (400_009, -500_000, 3 * 400_008 - 500_000)
+
+
+def test_value_summary_of_odd_tables(spark):
+    inf, nan = float("inf"), float("nan")
+
+    def summary(values):
+        [row] = profile.value_summary(spark.createDataFrame([(v,) for v in values], "d double"), "d").collect()
+        return row["count"], row.p25, row.p50, row.p75
+
+    assert summary([]) == (0, None, None, None)
+    assert summary([None, None]) == (0, None, None, None)
+    assert summary([5.0, None]) == (1, 5.0, 5.0, 5.0)
+    assert summary([-inf, 1.0, 1.0, inf]) == (4, -inf, 1.0, 1.0)
+    assert str(summary([1.0, nan, 2.0, nan])) == str((4, 1.0, 2.0, nan))

@@ -2,19 +2,23 @@
 
 Each function is one aggregate over the table; the one-row result is turned
 into a long table, so nothing is looped over on the driver. ``one_pass`` makes one aggregate of several.
+``exact_profile`` takes two, for quartiles of any number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUARTILES = (0.25, 0.5, 0.75)
 QUANTILE_ACCURACY = 10_000
+#: How far from a quartile its bounds are sketched, as a multiple of the sketch's own error of rank.
+MARGIN = 4
 
 
 def _is_missing(field: T.StructField) -> Column:
@@ -132,23 +136,83 @@ def describe_strings(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return string_report(columns).of(df)
 
 
-def summary_report(column: str, accuracy: int = QUANTILE_ACCURACY, where: Column | None = None) -> OneRow:
-    """As ``value_summary``, of the rows that ``where`` accepts."""
-    value = F.col(column) if where is None else F.when(where, F.col(column))
-    cells = [F.col("count"), F.col("min"), *(F.col("q")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75")))]
+def exact_profile(df: DataFrame, by: Iterable[str], value: str, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """count, n (not NULL), min, p25, p50, p75, max, mean, stddev of ``value`` per group, with exact quartiles for any type of number.
+
+    A first pass sketches values just below and just above each quartile. A second one counts what lies below the two and, one by one, the
+    values between them, about a thousandth of the group; among these the quartile is the first that reaches its rank.
+    NaN is the greatest value. The groups have to fit into a broadcast; no group's rows meet in one task.
+    """
+    by = list(by)
+    group, kind = [f"_g{i}" for i in range(len(by))], df.schema[value].dataType
+    rows = df.select(*[F.col(c).alias(g) for c, g in zip(by, group, strict=True)], F.col(value).alias("_v"))
+    greatest = F.lit(float("inf"))
+    fractional = isinstance(kind, (T.DoubleType, T.FloatType))
+    sketched = F.nanvl("_v", greatest) if fractional else F.col("_v")  # sketches do not order NaN
+    near = [p + side * MARGIN / accuracy for p in QUARTILES for side in (-1, 1)]
+    moments = {
+        "count": F.count("*"),
+        "n": F.count("_v"),
+        "min": F.min("_v"),
+        "max": F.max("_v"),
+        "mean": F.avg("_v"),
+        "stddev": F.stddev("_v"),
+    }
+    sketches = rows.groupBy(*group).agg(
+        *[c.alias(name) for name, c in moments.items()], F.percentile_approx(sketched, near, accuracy).alias("_near")
+    )
+    sketches = sketches.select(*[F.col(g).alias(f"{g}_") for g in group], *moments, "_near")
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in group], F.lit(True))
+    v, cells = F.col("_v"), []
+    for i, p in enumerate(QUARTILES):
+        low, high = F.col("_near")[2 * i], F.col("_near")[2 * i + 1]
+        reached = (v <= high) | (high == greatest) if fractional else v <= high
+        # A NULL key stands for all below, and comes first; what lies above counts nothing but keeps its group.
+        cells.append(
+            F.struct(
+                F.lit(i).alias("_i"),
+                F.greatest(F.ceil(F.col("n") * F.lit(p)), F.lit(1)).alias("_rank"),
+                F.when(reached & (v >= low), v).alias("_key"),
+                F.when(reached, 1).otherwise(0).cast("long").alias("_one"),
+            )
+        )
+    cells = rows.join(F.broadcast(sketches), same).select(*group, *moments, F.inline(F.array(*cells)))
+    counts = cells.groupBy(*group, *moments, "_i", "_rank", "_key").agg(F.sum("_one").alias("_n"))
+    so_far = F.sum("_n").over(Window.partitionBy(*group, "_i").orderBy(F.col("_key").asc_nulls_first()))
+    missed = F.raise_error(F.lit(f"a quartile of {value} lies outside the sketched bounds"))
+    found = counts.withColumn("_found", F.when(so_far >= F.col("_rank"), F.coalesce(F.col("_key"), missed.cast(kind))))
+    quartiles = [F.min(F.when(F.col("_i") == i, F.col("_found"))).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    names = ["count", "n", "min", "p25", "p50", "p75", "max", "mean", "stddev"]
+    return (
+        found.groupBy(*group, *moments)
+        .agg(*quartiles)
+        .select(
+            *[F.col(g).alias(c) for c, g in zip(by, group, strict=True)],
+            *[F.when(F.col("n") > 0, F.coalesce(c, missed.cast(kind))).alias(c) if c in ("p25", "p50", "p75") else c for c in names],
+        )
+    )
+
+
+def summary_report(column: str, kind: str = "int") -> OneRow:
+    """As ``value_summary`` from one aggregate, for whole numbers of bounded range: its state is a count for each value."""
+    cells = ("count", "min", "p25", "p50", "p75", "max", "mean", "stddev")
+    quartiles = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{column}`)").cast(kind) for p in QUARTILES]
     return OneRow(
         {
-            "count": F.count(value),
-            "min": F.min(value),
-            "q": F.percentile_approx(value, list(QUARTILES), accuracy),
-            "max": F.max(value),
-            "mean": F.avg(value),
-            "stddev": F.stddev(value),
+            "count": F.count(column),
+            "min": F.min(column),
+            **dict(zip(("p25", "p50", "p75"), quartiles, strict=True)),
+            "max": F.max(column),
+            "mean": F.avg(column),
+            "stddev": F.stddev(column),
         },
-        [F.struct(*cells, "max", "mean", "stddev")],
+        [F.struct(*cells)],
     )
 
 
 def value_summary(df: DataFrame, column: str, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """count, min, quartiles, max, mean, stddev of one column; quartiles are mergeable sketches."""
-    return summary_report(column, accuracy).of(df)
+    """count, min, exact quartiles, max, mean, stddev of one column (see ``exact_profile``); no rows give a count of 0."""
+    found = exact_profile(df, [], column, accuracy)
+    cells = ("min", "p25", "p50", "p75", "max", "mean", "stddev")
+    # Without any row there is no cell to hold the one row of the report.
+    return found.agg(F.coalesce(F.max("n"), F.lit(0)).cast("long").alias("count"), *[F.max(c).alias(c) for c in cells])

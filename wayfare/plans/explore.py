@@ -30,7 +30,9 @@ def raw_reports(trips: DataFrame, rules: clean.CleanRules = clean.CleanRules())
     """
     spark, fields = trips.sparkSession, trips.schema.fields
     seated, placed = F.coalesce(rules.passengers_ok(), F.lit(False)), F.coalesce(rules.position_ok(), F.lit(False))
-    passed = clean.add_measures(trips).withColumn("_passed", clean.steps_passed(rules))
+    passed = clean.add_measures(trips).withColumns(
+        {"_passed": clean.steps_passed(rules), "_duration": F.when(seated & placed, F.col("trip_duration"))}
+    )
     reports = profile.one_pass(
         passed,
         {
@@ -40,7 +42,7 @@ def raw_reports(trips: DataFrame, rules: clean.CleanRules = clean.CleanRules())
             "describe": profile.numeric_report(["vendor_id", *S.NUMERIC_COLUMNS]),
             "describe_strings": profile.string_report(["id", "store_and_fwd_flag"]),
             "funnel": clean.funnel_report("_passed"),
-            "duration_summary": profile.summary_report("trip_duration", where=seated & placed),
+            "duration_summary": profile.summary_report("_duration"),
         },
     )
     kinds = {
