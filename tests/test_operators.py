@@ -301,3 +301,30 @@ def test_value_summary_of_odd_tables(spark):
     assert summary([5.0, None]) == (1, 5.0, 5.0, 5.0)
     assert summary([-inf, 1.0, 1.0, inf]) == (4, -inf, 1.0, 1.0)
     assert str(summary([1.0, nan, 2.0, nan])) == str((4, 1.0, 2.0, nan))
+
+
+@pytest.mark.parametrize("kind", ["int", "double"])
+def test_group_profile_is_exact_beyond_the_size_of_a_sketch(spark, kind):
+    df = spread_values(spark, kind, groups=3)
+    rows = df.collect()
+    for row in stats.group_profile(df, "h", "d").collect():
+        values = sorted(r.d for r in rows if r.h == row.h)
+        wanted = [values[math.ceil(len(values) * p) - 1] for p in (0.25, 0.5, 0.75)]
+        assert [row.q1, row.median, row.q3, row.iqr] == [*wanted, wanted[2] - wanted[0]]
+        assert (row["count"], row.min, row.max) == (len(values), values[0], values[-1])
+
+
+def test_group_profile_of_odd_groups(spark):
+    df = spark.createDataFrame([(None, 3.0), (None, None), (1, None), (2, 7.0), (2, 5.0)], "h int, d double")
+    found = [tuple(r) for r in stats.group_profile(df, "h", "d").collect()]
+    assert found == [
+        (None, 2, 3.0, 3.0, 3.0, 3.0, 3.0, 3.0, None, 0.0),
+        (1, 1, None, None, None, None, None, None, None, None),
+        (2, 2, 5.0, 5.0, 5.0, 7.0, 7.0, 6.0, math.sqrt(2), 2.0),
+    ]
+
+
+def test_group_profile_refuses_bounds_that_miss_a_quartile(spark, monkeypatch):
+    monkeypatch.setattr(profile, "MARGIN", -500)
+    with pytest.raises(Exception, match="outside the sketched bounds"):
+        stats.group_profile(spread_values(spark, "int"), "h", "d").collect()

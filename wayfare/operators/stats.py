@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions import geo, trip
-from wayfare.operators.profile import QUANTILE_ACCURACY, QUARTILES
+from wayfare.operators.profile import QUANTILE_ACCURACY, QUARTILES, exact_profile
 
 
 def frequency(df: DataFrame, column: str) -> DataFrame:
@@ -81,36 +81,13 @@ def share_of_counts(counts: DataFrame, column: str) -> DataFrame:
 
 
 def group_profile(df: DataFrame, by: str, value: str, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """count, min, quartiles, max, mean, stddev, IQR of ``value`` per group.
+    """count, min, exact quartiles, max, mean, stddev, IQR of ``value`` per group.
 
-    Quartiles are mergeable sketches with rank error 1/accuracy: fit for any
-    value column.
+    For any column of numbers, from two passes: see ``profile.exact_profile``. NULL values count as rows and enter nothing else.
     """
-    q = F.percentile_approx(value, list(QUARTILES), accuracy)
-    return (
-        df.groupBy(by)
-        .agg(
-            F.count("*").alias("count"),
-            F.min(value).alias("min"),
-            q.alias("q"),
-            F.max(value).alias("max"),
-            F.avg(value).alias("mean"),
-            F.stddev(value).alias("stddev"),
-        )
-        .select(
-            by,
-            "count",
-            "min",
-            F.col("q")[0].alias("q1"),
-            F.col("q")[1].alias("median"),
-            F.col("q")[2].alias("q3"),
-            "max",
-            "mean",
-            "stddev",
-            (F.col("q")[2] - F.col("q")[0]).alias("iqr"),
-        )
-        .orderBy(by)
-    )
+    found = exact_profile(df, [by], value, accuracy)
+    named = found.withColumnsRenamed({"p25": "q1", "p50": "median", "p75": "q3"}).drop("n")
+    return named.withColumn("iqr", F.col("q3") - F.col("q1")).orderBy(by)
 
 
 def _exact_quartiles(df: DataFrame, value: str) -> list[Column]:
