@@ -13,11 +13,12 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tests.llm import brute
+from wayfare.llm import token_counts as counting
 from wayfare.llm.byte_bpe import ENCODE_LONG, RecursiveBpe, encode_decode
 from wayfare.llm.packing import LevelPacker, pack
 from wayfare.llm.queries import QUERIES
 from wayfare.llm.token_counts import token_counts
-from wayfare.llm.vocabulary import read_ranks
+from wayfare.llm.vocabulary import WordVocabulary, read_ranks
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -150,3 +151,23 @@ def test_substring_query_equals_plain_windows_and_hashlib(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     want = sorted((d, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for d, n, gone, kept in brute.without_repeats(rows))
     assert sorted(map(tuple, QUERIES["op10_substrings"](spark, sf_dir).collect())) == want
+
+
+def test_chunks_cut_together_have_the_pieces_of_each_alone():
+    vocabulary = WordVocabulary(WORDS)
+    chunks = ["don't", "ΑΣ", "'s's12x", "x\x7fy", "Ünï-ÀÉß", "日本語", "I'LL,", "\u0085", "4.5e-6", "K"]
+    found, sizes = vocabulary.all_pieces(chunks)
+    alone = [vocabulary.pieces(c) for c in chunks]
+    assert sizes.tolist() == list(map(len, alone))
+    assert [p.encode() for p in found.to_pylist()] == sum(alone, [])
+
+
+@pytest.mark.parametrize("counts_only", [True, False])
+def test_a_store_that_is_emptied_between_texts_finds_the_same(monkeypatch, counts_only):
+    vocabulary = WordVocabulary(WORDS)
+    texts = ["", None, " \n a<|endoftext|>b\x0b", "<|startoftext|><|endoftext|>", "A b ΑΣ b", "x " * 50 + "y", "日本 b's"]
+    wanted = [vocabulary.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(counting, "STORE", 4)
+    store = counting.ChunkStore(vocabulary, counting.Merges(vocabulary), counts_only)
+    found = [store.texts([t])[0] for t in texts] + store.texts(texts)
+    assert found == ([len(w) if counts_only else np.array(w, "<u4").tobytes() for w in wanted] * 2)

@@ -150,11 +150,10 @@ def pack(docs: DataFrame, path: str, window: int = 4096, closing: int = 2, most_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = chunk_store(path, counts_only=False)
         packer = LevelPacker(window, TaskContext.get().partitionId() << 40, most_open)
-        for batch in batches:
-            for part in common.slices(batch):
-                for doc, ids in zip(part["doc_id"].to_pylist(), store.texts(part["text"].to_pylist()), strict=True):
-                    packer.add(doc, ids + end)
-                yield packer.take()
+        for part in common.portions(batches):
+            for doc, ids in zip(part["doc_id"].to_pylist(), store.texts(part["text"].to_pylist()), strict=True):
+                packer.add(doc, ids + end)
+            yield packer.take()
         packer.flush()
         yield packer.take()
 

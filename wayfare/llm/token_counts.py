@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from wayfare.llm import common
-from wayfare.llm.vocabulary import STORE, WordVocabulary
+from wayfare.llm.vocabulary import STORE, WordVocabulary, listed
 
 NO_RANK = np.int32(2**31 - 1)
 
@@ -93,40 +94,94 @@ class Merges:
         rank[at], made[at] = self.look_up(symbol[at], symbol[at + 1])
 
 
+class Ragged:
+    """Growing lists of whole numbers, end to end."""
+
+    def __init__(self):
+        self.flat, self.starts, self.n = np.zeros(0, np.int32), np.zeros(0, np.int64), 0
+        self.sizes, self.used = np.zeros(0, np.int64), 0
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        flat_room, room = self.used + len(flat), self.n + len(sizes)
+        if flat_room > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(2 * flat_room - self.used, np.int32)])
+        if room > len(self.sizes):
+            more = np.zeros(2 * room - self.n, np.int64)
+            self.starts, self.sizes = (np.concatenate([x[: self.n], more]) for x in (self.starts, self.sizes))
+        self.flat[self.used : flat_room] = flat
+        self.sizes[self.n : room] = sizes
+        self.starts[self.n : room] = self.used + np.cumsum(sizes) - sizes
+        self.n, self.used = room, flat_room
+
+    def gather(self, rows: np.ndarray) -> np.ndarray:
+        """The lists of these rows, end to end."""
+        sizes = self.sizes[rows]
+        shift = self.starts[rows] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+
+
 class ChunkStore:
-    """What has been found for each chunk; emptied before it would pass the bound."""
+    """The ids found for each chunk and for each piece of one; emptied before the chunks would pass the bound."""
 
     def __init__(self, vocabulary: WordVocabulary, merges: Merges, counts_only: bool):
         self.vocabulary, self.merges, self.counts_only = vocabulary, merges, counts_only
-        self.known: dict[bytes, object] = {}
-        self.marks = {m: 1 if counts_only else np.array([i], "<u4").tobytes() for m, i in vocabulary.marks.items()}
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        chunks = list(chunks)
-        pieces = list(map(self.vocabulary.pieces, chunks))
-        number = {p: k for k, p in enumerate(set().union(*pieces))}
-        ids, counts = self.merges.merged(list(number))
-        if self.counts_only:
-            found = counts.tolist()
-        else:
-            flat, ends = ids.astype("<u4").tobytes(), np.cumsum(4 * counts).tolist()
-            found = [flat[a:b] for a, b in zip([0, *ends], ends)]
-        add = sum if self.counts_only else b"".join
-        self.known.update((c, add([found[number[p]] for p in ps])) for c, ps in zip(chunks, pieces, strict=True))
+        if any(m.split() != [m] for m in vocabulary.marks):
+            raise ValueError("a special string with white space in it")
+        self._empty()
+
+    def _empty(self) -> None:
+        # No other chunk equals a special string: wherever it occurs, it is a part of its own.
+        marks = self.vocabulary.marks
+        self.numbers: dict[str, int] = {m: k for k, m in enumerate(marks)}
+        self.chunks = Ragged()
+        self.chunks.extend(np.array(list(marks.values()), np.int32), np.ones(len(marks), np.int64))
+        self.piece_numbers: dict[str, int] = {}
+        self.pieces = Ragged()
+
+    def _learn(self, chunks: list[str]) -> None:
+        found, sizes = self.vocabulary.all_pieces(chunks)
+        different = listed(found.dictionary)
+        number = list(map(self.piece_numbers.get, different))
+        new = [k for k, n in enumerate(number) if n is None]
+        if new:
+            pieces = [different[k] for k in new]
+            numbers = range(len(self.piece_numbers), len(self.piece_numbers) + len(new))
+            self.pieces.extend(*self.merges.merged([p.encode() for p in pieces]))
+            self.piece_numbers.update(zip(pieces, numbers))
+            for k, n in zip(new, numbers):
+                number[k] = n
+        rows = np.array(number, np.int64)[np.asarray(found.indices)]
+        ends = np.concatenate([[0], np.cumsum(self.pieces.sizes[rows])])
+        last = np.cumsum(sizes)
+        self.numbers.update(zip(chunks, range(self.chunks.n, self.chunks.n + len(chunks))))
+        self.chunks.extend(self.pieces.gather(rows), ends[last] - ends[last - sizes])
 
     def texts(self, texts: list[str | None]) -> list:
         """For each text the number of its tokens, or their ids as bytes."""
-        parts = [self.vocabulary.parts(t or "") for t in texts]
-        cut = [[p.encode().split() if k % 2 == 0 else p for k, p in enumerate(ps)] for ps in parts]
-        new = set().union(*(p for ps in cut for p in ps[::2])) - self.known.keys()
-        if len(self.known) + len(new) > STORE:
-            self.known.clear()
-            new = set().union(*(p for ps in cut for p in ps[::2]))
+        whole = pa.array([" ".join(self.vocabulary.parts(t or "")) for t in texts], pa.large_string())
+        cut = pc.ascii_split_whitespace(whole)
+        words = cut.flatten()
+        full = np.asarray(pc.binary_length(words)) > 0  # white space at an end leaves an empty word there
+        n_words = np.concatenate([[0], np.cumsum(full)])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
+        coded = words.filter(pa.array(full)).dictionary_encode()
+        different = listed(coded.dictionary)
+        number = list(map(self.numbers.get, different))
+        new = [k for k, n in enumerate(number) if n is None]
+        if len(self.numbers) + len(new) > STORE:
+            self._empty()
+            number = list(map(self.numbers.get, different))
+            new = [k for k, n in enumerate(number) if n is None]
         if new:
-            self._learn(new)
-        add = sum if self.counts_only else b"".join
-        get = self.known.__getitem__
-        return [add([add(map(get, p)) if k % 2 == 0 else self.marks[p] for k, p in enumerate(ps)]) for ps in cut]
+            first = self.chunks.n
+            self._learn([different[k] for k in new])
+            for n, k in enumerate(new, first):
+                number[k] = n
+        rows = np.array(number, np.int64)[np.asarray(coded.indices)]
+        ends = np.concatenate([[0], np.cumsum(self.chunks.sizes[rows])])[n_words]
+        if self.counts_only:
+            return np.diff(ends).tolist()
+        ids, ends = self.chunks.gather(rows).astype("<u4").tobytes(), (4 * ends).tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
 _STORES: dict[tuple[str, bool], ChunkStore] = {}
@@ -145,10 +200,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = chunk_store(path, counts_only=True)
-        for batch in batches:
-            for part in common.slices(batch):
-                n = pa.array(store.texts(part["text"].to_pylist()), pa.int64())
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["n_bytes"], n], ["doc_id", "n_bytes", "n_tokens"])
+        for part in common.portions(batches):
+            n = pa.array(store.texts(part["text"].to_pylist()), pa.int64())
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["n_bytes"], n], ["doc_id", "n_bytes", "n_tokens"])
 
     common.prepared(docs.sparkSession)
     counted = docs.selectExpr("doc_id", "text", "CAST(octet_length(coalesce(text, '')) AS LONG) AS n_bytes").mapInArrow(

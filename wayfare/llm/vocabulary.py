@@ -12,6 +12,9 @@ import json
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Different chunks that a worker keeps.
@@ -21,6 +24,8 @@ STORE = 1_000_000
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 #: The piece pattern of the vocabulary, for plain characters in lower case.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: The same with the ends of lines.
+_PIECE_OR_LINE = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+")
 _ANY_SPACE_BY_SPACE = re.compile(r" \s|\s ")
 
 
@@ -54,21 +59,42 @@ class WordVocabulary:
         """The text with the special strings in it as parts of their own, at odd places."""
         return self.split_marks.split(text) if self.split_marks and "<" in text else [text]
 
-    def plain(self, chunk: bytes) -> list[bytes] | None:
+    def plain(self, chunk: str) -> list[bytes] | None:
         """Pieces of a chunk of plain characters; None for any other chunk."""
-        if chunk.isalpha():
-            return [chunk.lower()]
-        s = chunk.decode()
-        return [p.encode() for p in _PIECE.findall(s.lower())] if _PLAIN.fullmatch(s) else None
+        return [p.encode() for p in _PIECE.findall(chunk.lower())] if _PLAIN.fullmatch(chunk) else None
 
-    def pieces(self, chunk: bytes) -> list[bytes]:
+    def pieces(self, chunk: str) -> list[bytes]:
         """Pieces that are merged one by one."""
         found = self.plain(chunk)
         if found is not None:
             return found
-        normal = self.tokenizer.normalizer.normalize_str(chunk.decode())
+        normal = self.tokenizer.normalizer.normalize_str(chunk)
         return [bytes(map(self.byte_of.__getitem__, p)) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
+    def all_pieces(self, chunks: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """Pieces of all chunks, end to end, and how many each has. Chunks of plain characters are cut in one go, a line for each."""
+        plain = [(c.isascii() and c.isprintable()) or _PLAIN.fullmatch(c) is not None for c in chunks]
+        lines = "\n".join(chunks if all(plain) else [c if p else "" for c, p in zip(chunks, plain, strict=True)])
+        flat = _PIECE_OR_LINE.findall(lines.lower())
+        for k in [k for k, p in enumerate(plain) if not p]:
+            flat += ["\n", *[p.decode() for p in self.pieces(chunks[k])]]
+        found = pa.array(flat, pa.string())
+        line = np.asarray(pc.equal(found, "\n"))
+        sizes = np.diff(np.flatnonzero(line), prepend=-1, append=len(flat)) - 1
+        # The chunks cut one by one come last; every chunk's pieces go to its own place.
+        place = np.concatenate([np.arange(len(chunks)), np.flatnonzero(~np.array(plain, bool))])
+        own = np.argsort(np.repeat(place, sizes), kind="stable")
+        found = found.filter(pa.array(~line)).take(pa.array(own)).dictionary_encode()
+        return found, np.bincount(place, sizes, len(chunks)).astype(np.int64)
+
+
+def listed(strings: pa.Array) -> list[str]:
+    """Strings without line ends in them, not empty; much faster than ``to_pylist``."""
+    if not len(strings):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings.cast(pa.string()))
+    return pc.binary_join(whole, "\n")[0].as_py().split("\n")
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
