@@ -141,12 +141,13 @@ class RecursiveBpe:
         start = pa.table({"word": word, "place": np.arange(len(tok)), "tok": tok})
         self.con.register("start", start)
         found = self.con.sql(query).to_arrow_table().combine_chunks()
-        lists = found["ids"].chunk(0)
-        ends = np.asarray(lists.offsets) * 4
-        ids, ends = np.asarray(lists.values).astype("<u4").tobytes(), ends.tolist()
+        lists, texts = found["ids"].chunk(0), found["bytes"].chunk(0)
+        ends = (np.asarray(lists.offsets) * 4).tolist()
+        ids, (raw, at) = np.asarray(lists.values).astype("<u4").tobytes(), common.buffers(texts)
+        raw, at = raw.tobytes(), at.tolist()
         out: list = [None] * len(words)
-        for k, n, text in zip(found["word"].to_pylist(), range(len(words)), found["bytes"].to_pylist(), strict=True):
-            out[k] = (ids[ends[n] : ends[n + 1]], text)
+        for n, k in enumerate(found["word"].to_numpy().tolist()):
+            out[k] = (ids[ends[n] : ends[n + 1]], raw[at[n] : at[n + 1]])
         return out
 
     def encode_all(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:

@@ -111,5 +111,8 @@ class ByteChunks:
         """Chunks whose pre-tokens are those of the text. Texts with a space beside other white space are cut into pre-tokens."""
         if _ANY_SPACE_BY_SPACE.search(text):
             return self.pattern.findall(text)
-        head, *rest = text.split(" ")
-        return [head, *(" " + r for r in rest)] if head else [" " + r for r in rest]
+        if "\0" in text:
+            head, *rest = text.split(" ")
+            return [head, *(" " + r for r in rest)] if head else [" " + r for r in rest]
+        chunks = text.replace(" ", "\0 ").split("\0")
+        return chunks if chunks[0] else chunks[1:]
