@@ -10,7 +10,7 @@ import pytest
 
 from tests.llm import brute
 from tests.llm.test_tokens import key
-from wayfare.llm import known_passages, minhash, subspace_join
+from wayfare.llm import known_passages, minhash, subspace_join, substrings
 from wayfare.llm.components import components
 from wayfare.llm.known_passages import remove_known
 from wayfare.llm.line_templates import SQL, drop_recurring_lines
@@ -233,3 +233,12 @@ def test_empty_tables(spark, no_docs):
     assert remove_repeats(no_docs).count() == 0
     assert drop_recurring_lines(no_docs).count() == 0
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_removed_words_are_those_under_a_repeated_window():
+    places = [{"start": 2, "n": 3}, {"start": 30, "n": 2}]
+    firsts = [{"start": 2, "mask": 0b101}, {"start": 30, "mask": 0b11}]
+    gone = substrings.removed_words(60, places, firsts)
+    assert np.flatnonzero(gone).tolist() == list(range(3, 23))
+    words = [b"w%d" % i for i in range(60)]
+    assert substrings.kept_text(b" \n".join(words), gone, False, words) == b" ".join(words[:3] + words[23:])

@@ -25,6 +25,7 @@ table gives an empty one. Other columns are carried along, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -141,20 +142,25 @@ def _first_windows(shard: pa.Table) -> pa.Table:
 
 def removed_words(n_words: int, places: list[dict], firsts: list[dict]) -> np.ndarray:
     """Which words are covered by a window that is a repeat."""
-    change = np.zeros(n_words + 1, np.int64)
-    fresh = {f["start"] + k for f in firsts for k in range(WINDOW) if f["mask"] >> k & 1}
+    repeat = np.zeros(n_words + 1, np.int8)
     for p in places:
-        for s in range(p["start"], p["start"] + p["n"]):
-            if s not in fresh:
-                change[s] += 1
-                change[s + WINDOW] -= 1
-    return np.cumsum(change[:-1]) > 0
-
-
-def kept_text(text: bytes, gone: np.ndarray, layout: bool) -> bytes:
+        repeat[p["start"] : p["start"] + p["n"]] = 1
+    for f in firsts:
+        start, mask = f["start"], f["mask"]
+        while mask:
+            low = mask & -mask
+            repeat[start + low.bit_length() - 1] = 0
+            mask ^= low
+    begun = np.cumsum(repeat, dtype=np.int64)
+    begun[WINDOW:] -= begun[:-WINDOW].copy()
+    return begun[:-1] > 0
+
+
+def kept_text(text: bytes, gone: np.ndarray, layout: bool, words: list[bytes] | None = None) -> bytes:
     """The words that stay, joined by single spaces; with layout, whole stretches of the text as they are."""
     if not layout:
-        return b" ".join([w for w, g in zip(text.split(), gone.tolist(), strict=True) if not g])
+        words = text.split() if words is None else words
+        return b" ".join(words if not gone.any() else list(compress(words, (~gone).tolist())))
     if not gone.any():
         return text
     starts, ends, _ = common.words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
@@ -169,11 +175,11 @@ def _without_repeats(layout: bool):
                 n_words, n_removed, kept = [], [], []
                 for text, places, firsts in zip(*(part[c].to_pylist() for c in ("text", "_places", "_firsts")), strict=True):
                     raw = (text or "").encode()
-                    n = len(raw.split())
-                    gone = removed_words(n, places or [], firsts or [])
-                    n_words.append(n)
+                    words = raw.split()
+                    gone = removed_words(len(words), places, firsts or []) if places else np.zeros(len(words), bool)
+                    n_words.append(len(words))
                     n_removed.append(int(gone.sum()))
-                    kept.append(None if text is None and layout else kept_text(raw, gone, layout).decode())
+                    kept.append(None if text is None and layout else kept_text(raw, gone, layout, words).decode())
                 names = [c for c in part.schema.names if c not in ("_places", "_firsts")]
                 columns = [pa.array(kept, pa.string()) if c == "text" else part[c] for c in names]
                 columns += [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
