@@ -8,17 +8,19 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
 from tests.llm import brute
 from wayfare.llm import token_counts as counting
-from wayfare.llm.byte_bpe import ENCODE_LONG, RecursiveBpe, encode_decode
+from wayfare.llm import byte_bpe, common
+from wayfare.llm.byte_bpe import ENCODE_LONG, Codec, RecursiveBpe, encode_decode
 from wayfare.llm.packing import LevelPacker, pack
 from wayfare.llm.queries import QUERIES
 from wayfare.llm.token_counts import token_counts
-from wayfare.llm.vocabulary import WordVocabulary, read_ranks
+from wayfare.llm.vocabulary import BYTE_PATTERN, ByteChunks, WordVocabulary, read_ranks
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -137,6 +139,38 @@ def test_long_words_equal_the_library(encoding):
     assert own.encode_all(words) == want
 
 
+def test_chunks_have_the_pre_tokens_of_their_text():
+    """Spaces of all kinds, quotes, signs, letters and digits of one to four bytes, in random order."""
+    random, chunks = np.random.default_rng(9), ByteChunks(public_tokenizers.PATTERN)
+    signs = [*" \n\t\x0b\x1c\x1f\x85\xa0\u1680\u2000\u200a\u200b\u2028\u202f\u205f\u3000", *"'stlredvm", *"Az19éÿ×÷²ªßĀжЀ٣日À\u0301😀\0\x7f,._-", *"  ''"]
+    texts = ["".join(random.choice(signs, n)) for n in random.integers(0, 40, 5000)] + ["", "don't, 's''s 'stop'", "\xa0 a\u2009 b", "x\u0120 y"]
+    found, first = chunks.cut(*common.buffers(pa.array(texts)))
+    found = found.cast(pa.string()).to_pylist()
+    for k, t in enumerate(texts):
+        mine = found[first[k] : first[k + 1]]
+        assert "".join(mine) == t
+        assert sum(map(chunks.pattern.findall, mine), []) == chunks.pattern.findall(t)
+    assert BYTE_PATTERN == public_tokenizers.PATTERN
+    whole, _ = ByteChunks(r"\S+|\s+").cut(*common.buffers(pa.array(["a b, c"])))
+    assert whole.to_pylist() == [b"a b, c"]
+
+
+def test_a_word_is_merged_once_whatever_stands_behind_it(monkeypatch, encoding):
+    """Neither signs nor the emptying of the store send a word of the texts at hand to the query again."""
+    coder, sent = Codec(BYTES, public_tokenizers.PATTERN), []
+    encode_all = coder.bpe.encode_all
+    monkeypatch.setattr(coder.bpe, "encode_all", lambda words: sent.extend(words) or encode_all(words))
+    monkeypatch.setattr(byte_bpe, "STORE", 2 * 6)
+    rounds = [["a thentien, b", None, "été; a"], ["a thentien. thentien! a (thentien", ""], ["été thentien"]]
+    for texts in rounds:
+        ids, decoded = coder.texts(pa.array(texts, pa.string()))
+        assert decoded.to_pylist() == [(t or "").encode() for t in texts]
+        assert ids.to_pylist() == [np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes() for t in texts]
+    assert sent.count(b" thentien") == 1
+    chunks, _ = coder.chunks.cut(*common.buffers(pa.array(["é thentien, thentien; thentien."])))
+    assert chunks.dictionary.to_pylist() == ["é".encode(), b" thentien", b",", b";", b"."]
+
+
 def test_byte_bpe_query_equals_the_library_and_hashlib(spark, encoding):
     sf_dir = "/root/testdata/sf0.001"
     got = {r["doc_id"]: tuple(r) for r in QUERIES["op4_byte_bpe"](spark, sf_dir).collect()}

@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from wayfare.llm import common
@@ -30,6 +32,9 @@ from wayfare.llm.vocabulary import STORE, ByteChunks, read_ranks
 #: Bytes of words that one recursive query works on.
 QUERY_BYTES = 1 << 19
 
+#: Bytes of texts that a task codes at once; the more, the fewer times a word is met again.
+PORTION = 1 << 23
+
 #: Words from so many bytes on go to the query that contracts more than one pair of a word in a round.
 LONG = 256
 
@@ -171,40 +176,46 @@ class RecursiveBpe:
 
 
 class Codec:
-    """Texts to ids and back by way of the different chunks; the store is emptied before it would pass its bound."""
+    """Texts to ids and back by way of the different chunks; the store keeps words, and before it would pass its bound only
+    those of the texts at hand."""
 
     def __init__(self, path: str, pattern: str):
         self.bpe, self.chunks = RecursiveBpe(path), ByteChunks(pattern)
-        self.coded: dict[str, tuple[bytes, bytes]] = {}
         self.words: dict[str, tuple[bytes, bytes]] = {}
 
-    def _learn(self, chunks: list[str]) -> None:
-        parts = list(map(self.chunks.pattern.findall, chunks))
-        words = list(set().union(*parts) - self.words.keys())
-        if len(self.words) + len(words) > STORE // 2:
-            self.words.clear()
-            words = list(set().union(*parts))
+    def _learn(self, chunks: list[str], parts: dict[str, list[str]]) -> None:
+        new = list(set(chain.from_iterable(parts.values())) - self.words.keys())
+        if len(self.words) + len(new) > STORE // 2:
+            held = set(chunks).union(*parts.values())
+            self.words = {w: f for w, f in self.words.items() if w in held}
+        self.words.update(zip(new, self.bpe.encode_all([w.encode() for w in new]), strict=True))
+
+    def coded(self, chunks: list[str]) -> tuple[pa.Array, pa.Array]:
+        """Ids and decoded bytes of each chunk. A chunk found among the words is one: alone, a pre-token is cut no further."""
+        parts = {c: self.chunks.pattern.findall(c) for c in chunks if c not in self.words}
+        self._learn(chunks, parts)
         found = self.words
-        found.update(zip(words, self.bpe.encode_all([w.encode() for w in words]), strict=True))
-        for c, ps in zip(chunks, parts, strict=True):
-            self.coded[c] = found[ps[0]] if len(ps) == 1 else _joined([found[p] for p in ps])
-
-    def texts(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        """Ids and decoded bytes of each text."""
-        cut = [self.chunks.cut(t or "") for t in texts]
-        new = set().union(*cut) - self.coded.keys()
-        if len(self.coded) + len(new) > STORE // 2:
-            self.coded.clear()
-            new = set().union(*cut)
-        if new:
-            self._learn(list(new))
-        return [_joined(list(map(self.coded.__getitem__, c))) for c in cut]
+        coded = [found[c] if c in found else _joined([found[p] for p in parts[c]]) for c in chunks]
+        return pa.array([c[0] for c in coded], pa.large_binary()), pa.array([c[1] for c in coded], pa.large_binary())
+
+    def texts(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Ids and decoded bytes of each text; a null is an empty text."""
+        chunks, first = self.chunks.cut(*common.buffers(texts))
+        ids, decoded = self.coded(chunks.dictionary.cast(pa.large_string()).to_pylist())
+        return _gathered(ids, chunks.indices, first), _gathered(decoded, chunks.indices, first)
 
 
 def _joined(parts: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
     return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
 
 
+def _gathered(values: pa.Array, indices: pa.Array, first: np.ndarray) -> pa.Array:
+    """The values at these indices, joined from ``first[k]`` to ``first[k + 1]``."""
+    raw, at = common.buffers(values.take(indices))
+    ends = pa.py_buffer(at[first])
+    return pa.Array.from_buffers(pa.large_binary(), len(first) - 1, [None, ends, pa.py_buffer(raw)]).cast(pa.binary())
+
+
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 
@@ -220,12 +231,11 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for part in common.portions(batches):
-            found = own.texts(part["text"].to_pylist())
-            columns = [part["doc_id"]]
-            columns += [pa.array([len(i) // 4 for i, _ in found], pa.int64())]
-            columns += [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
+        for part in common.portions(batches, PORTION):
+            ids, decoded = own.texts(part["text"])
+            n = pc.divide(pc.binary_length(ids), 4).cast(pa.int64())
+            found = pa.RecordBatch.from_arrays([part["doc_id"], n, ids, decoded], ["doc_id", "n_tokens", "ids", "decoded"])
+            yield from common.slices(found)
 
     common.prepared(docs.sparkSession)
     return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(

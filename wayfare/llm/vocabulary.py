@@ -26,7 +26,6 @@ _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 #: The same with the ends of lines.
 _PIECE_OR_LINE = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+")
-_ANY_SPACE_BY_SPACE = re.compile(r" \s|\s ")
 
 
 def byte_letters() -> list[str]:
@@ -101,18 +100,70 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+#: Pre-tokens of byte-level BPE: the pattern whose classes ``ByteChunks`` knows.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+_OTHER, _SPACE, _LETTER, _DIGIT, _SIGN, _QUOTE = range(6)
+
+
+def _classes() -> np.ndarray:
+    """Class of each ASCII byte in the pattern; _OTHER: not known from the byte alone."""
+    out = np.zeros(256, np.uint8)
+    out[:0x1C] = out[0x21:0x80] = _SIGN
+    out[[0x20, *range(0x09, 0x0E)]] = _SPACE
+    out[48:58] = _DIGIT
+    out[65:91] = out[97:123] = _LETTER
+    out[39] = _QUOTE
+    return out
+
+
+def _cut_between() -> np.ndarray:
+    """True at 8 * class of a byte + class of the next one where a pre-token always ends, whatever stands around them."""
+    out = np.zeros((8, 8), bool)
+    out[[_LETTER, _DIGIT, _SIGN, _QUOTE], _SPACE] = True
+    out[_LETTER, [_DIGIT, _SIGN, _QUOTE]] = out[_DIGIT, [_LETTER, _SIGN, _QUOTE]] = True
+    out[_SIGN, [_LETTER, _DIGIT]] = True
+    return out.reshape(-1)
+
+
 class ByteChunks:
-    """Cuts a text at single spaces between words; the space goes with the word after it."""
+    """Cuts texts, all bytes at once, at places where a pre-token ends whatever stands around: where the class of
+    characters changes, but not after white space (what follows decides on its length) nor after an apostrophe (of 's). Of other than
+    ASCII characters, the letters À to ÿ are known; beside the rest there are cuts only before ASCII white space. With
+    another pattern a text is one chunk."""
 
     def __init__(self, pattern: str):
         self.pattern = regex.compile(pattern)
-
-    def cut(self, text: str) -> list[str]:
-        """Chunks whose pre-tokens are those of the text. Texts with a space beside other white space are cut into pre-tokens."""
-        if _ANY_SPACE_BY_SPACE.search(text):
-            return self.pattern.findall(text)
-        if "\0" in text:
-            head, *rest = text.split(" ")
-            return [head, *(" " + r for r in rest)] if head else [" " + r for r in rest]
-        chunks = text.replace(" ", "\0 ").split("\0")
-        return chunks if chunks[0] else chunks[1:]
+        self.known = pattern == BYTE_PATTERN
+        self.classes, self.between = _classes(), _cut_between()
+
+    def starts(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where the chunks of texts begin that lie end to end in ``raw``, the text k from ``at[k]`` on."""
+        cut = np.zeros(len(raw), bool)
+        if self.known and len(raw):
+            kind = self.classes[raw]
+            lead = np.flatnonzero(raw[:-1] == 0xC3)
+            lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+            kind[lead] = kind[lead + 1] = _LETTER
+            pair = kind[:-1] << 3
+            pair |= kind[1:]
+            cut[1:] = self.between[pair]
+            after = np.flatnonzero(pair == (_OTHER << 3 | _SPACE)) + 1
+            cut[after[~_may_be_space(raw[after - 2], raw[after - 1])]] = True
+        begins = at[:-1]
+        cut[begins[at[1:] > begins]] = True
+        return np.flatnonzero(cut)
+
+    def cut(self, raw: np.ndarray, at: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The chunks of all texts, end to end, and the number of the first one of each text (one more at the end)."""
+        starts = self.starts(raw, at)
+        ends = np.append(starts, len(raw)).astype(np.int64)
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+        return chunks.dictionary_encode(), np.searchsorted(starts, at)
+
+
+def _may_be_space(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether a character with these last two bytes can be white space beyond ASCII, or a control sign of no known class."""
+    latin = (before == 0xC2) & ((last == 0x85) | (last == 0xA0))
+    wide = np.isin(before, (0x80, 0x81, 0x9A)) & ((last <= 0x8A) | np.isin(last, (0x9F, 0xA8, 0xA9, 0xAF)))
+    return (last < 0x80) | latin | wide
